@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,3 +54,16 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 def utf8(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     """A string column as UTF-8 bytes, without decoding."""
     return column.cast(pa.binary()).to_pylist()
+
+
+def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in parts whose texts hold at most most_bytes (or one row), to bound what Python objects take."""
+    size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    start, held = 0, 0
+    for k, n in enumerate(size):
+        if k > start and held + n > most_bytes:
+            yield batch.slice(start, k - start)
+            start, held = k, 0
+        held += n
+    if start < batch.num_rows:
+        yield batch.slice(start)
