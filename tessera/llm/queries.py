@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, quality, simhash, urls
+from . import chat, decontaminate, html_text, mixing, quality, simhash, tokens, urls
 from .common import table
 
 LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -20,6 +20,18 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.verdicts(table(spark, sf_dir, "pages"), urls.rule_table(spark))
 
 
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.read_back(chat.format_turns(chat.with_trick(table(spark, sf_dir, "conversations"))))
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.counts(table(spark, sf_dir, "documents"))
+
+
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -49,11 +61,15 @@ FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_url_filters": op2_url_filters,
+    "op5_chat_formatting": op5_chat_formatting,
+    "op6_token_counts": op6_token_counts,
+    "op7_html_extraction": op7_html_extraction,
     "op8_source_mixing": op8_source_mixing,
     "op9_quality_rules": op9_quality_rules,
     "op10_decontamination": op10_decontamination,
 }
 SQL: dict[str, str] = {
     "op2_url_filters": urls.SQL,
+    "op5_chat_formatting": chat.SQL,
     "op10_decontamination": OP10_SQL,
 }
