@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, html_text, mixing, quality, simhash, tokens, urls
+from . import chat, decontaminate, html_text, mixing, quality, simhash, tokens, urls, warc
 from .common import table
 
 LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -20,6 +20,11 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.verdicts(table(spark, sf_dir, "pages"), urls.rule_table(spark))
 
 
+def op3_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return warc.audit(warc.archive(pages), warc.archive(pages, damage=warc.decay))
+
+
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_turns(chat.with_trick(table(spark, sf_dir, "conversations"))))
 
@@ -61,6 +66,7 @@ FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_url_filters": op2_url_filters,
+    "op3_warc_fixity": op3_warc_fixity,
     "op5_chat_formatting": op5_chat_formatting,
     "op6_token_counts": op6_token_counts,
     "op7_html_extraction": op7_html_extraction,
@@ -70,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 SQL: dict[str, str] = {
     "op2_url_filters": urls.SQL,
+    "op3_warc_fixity": warc.SQL,
     "op5_chat_formatting": chat.SQL,
     "op10_decontamination": OP10_SQL,
 }
