@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, html_text, mixing, quality, simhash, tokens, urls, warc
+from . import chat, decontaminate, html_text, mixing, pii, quality, simhash, tokens, urls, warc
 from .common import table
 
 LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -25,6 +25,10 @@ def op3_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.audit(warc.archive(pages), warc.archive(pages, damage=warc.decay))
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_turns(chat.with_trick(table(spark, sf_dir, "conversations"))))
 
@@ -67,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_url_filters": op2_url_filters,
     "op3_warc_fixity": op3_warc_fixity,
+    "op4_personal_data": op4_personal_data,
     "op5_chat_formatting": op5_chat_formatting,
     "op6_token_counts": op6_token_counts,
     "op7_html_extraction": op7_html_extraction,
