@@ -1,10 +1,6 @@
 """The registered queries and, where SQL can express them, the same rows in DuckDB SQL."""
 
-from __future__ import annotations
+from .plans.catalogue import QUERIES
+from .plans.catalogue_sql import SQL
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+__all__ = ["QUERIES", "SQL"]
