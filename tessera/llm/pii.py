@@ -157,6 +157,23 @@ def occurrences(texts: DataFrame, spans: str = "base") -> DataFrame:
     )
 
 
+def _totals(texts: DataFrame, patterns: DataFrame) -> DataFrame:
+    """(pattern, total): how often the two words of each pattern stand before a word in texts."""
+    words = F.filter(F.split(_plain(F.col("text")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    before = texts.select(words.alias("w")).filter(F.size("w") > 2)
+    before = before.select(
+        F.explode(
+            F.zip_with(
+                F.slice("w", F.lit(1), F.size("w") - 2),
+                F.slice("w", F.lit(2), F.size("w") - 2),
+                lambda a, b: F.concat(a, F.lit(" "), b),
+            )
+        ).alias("pattern")
+    )
+    # whatever the number of patterns: Spark broadcasts them below its own threshold, and else sorts
+    return written(before.join(patterns, "pattern").groupBy("pattern").agg(F.count("*").alias("total")), "totals")
+
+
 def learn(
     texts: DataFrame, *, support: int = 3, confidence: float = 0.8, score: float = 0.9, rounds: int = 3
 ) -> tuple[DataFrame, DataFrame]:
@@ -173,19 +190,13 @@ def learn(
     wide = written(wide.filter(F.col("values") >= support).select("pattern"), "patterns")
     if pairs.filter("rank IS NOT NULL").isEmpty() or wide.isEmpty():
         return empty, seen
-    words = F.filter(F.split(_plain(F.col("text")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    before = texts.select(words.alias("w")).filter(F.size("w") > 2)
-    before = before.select(
-        F.explode(
-            F.zip_with(
-                F.slice("w", F.lit(1), F.size("w") - 2),
-                F.slice("w", F.lit(2), F.size("w") - 2),
-                lambda a, b: F.concat(a, F.lit(" "), b),
-            )
-        ).alias("pattern")
-    )
-    # whatever the number of patterns: Spark broadcasts them below its own threshold, and else sorts
-    totals = written(before.join(wide, "pattern").groupBy("pattern").agg(F.count("*").alias("total")), "totals")
+    # in texts with a digit alone: no more than all occurrences, so patterns that fall below here fall below at all
+    few = _totals(texts.filter(F.col("text").rlike("[0-9]")), wide)
+    most = pairs.groupBy("pattern").agg(F.sum("n").alias("n")).join(few, "pattern")
+    likely = written(most.filter(F.col("n") >= F.col("total") * confidence).select("pattern"), "likely")
+    if likely.isEmpty():
+        return empty, seen
+    totals = _totals(texts, likely)
     graph = written(pairs.join(totals, "pattern"), "graph")
     seeds = graph.filter("rank IS NOT NULL").select("value").distinct()
     scores = written(seeds.withColumn("score", F.lit(1.0)), "scores")
