@@ -139,21 +139,27 @@ def _one_space(words: Column) -> Column:
 
 
 def occurrences(texts: DataFrame, spans: str = "base") -> DataFrame:
-    """(sha, start, end, value, pattern, rank) of candidates in texts (text, base spans) that have a context; rank is
-    that of a base span which they overlap, or null. value is the word without punctuation around it."""
+    """(sha, start, end, value, pattern, rank) of candidates in texts (text, base spans) that have a context.
+
+    Where a base span begins in the word, rank is the span's and value all of it; words further inside a span are left
+    out. Otherwise rank is null and value the word without punctuation around it.
+    """
     made = texts.select(
-        F.sha2("text", 256).alias("sha"), F.col(spans), F.explode(_candidates(F.col("text"))).alias("c")
+        "text", F.sha2("text", 256).alias("sha"), F.col(spans), F.explode(_candidates(F.col("text"))).alias("c")
     ).filter(F.col("c.before") != "")
-    hit = F.filter(spans, lambda b: (b["start"] < F.col("c.end")) & (b["end"] > F.col("c.start")))
+    hit = F.get(F.filter(spans, lambda b: (b["start"] < F.col("c.end")) & (b["end"] > F.col("c.start"))), F.lit(0))
     lead = F.length(F.regexp_extract("c.found", r"^[^\p{L}\p{N}]*", 0))
-    value = F.regexp_extract("c.found", r"^[^\p{L}\p{N}]*(.*?)[^\p{L}\p{N}]*$", 1)
-    return made.select(
+    bare = F.regexp_extract("c.found", r"^[^\p{L}\p{N}]*(.*?)[^\p{L}\p{N}]*$", 1)
+    made = made.withColumns({"hit": hit, "bare": bare, "lead": lead})
+    return made.filter(F.col("hit").isNull() | (F.col("hit.start") >= F.col("c.start"))).select(
         "sha",
-        (F.col("c.start") + lead).alias("start"),
-        (F.col("c.start") + lead + F.length(value)).alias("end"),
-        value.alias("value"),
+        (F.col("c.start") + F.col("lead")).alias("start"),
+        (F.col("c.start") + F.col("lead") + F.length("bare")).alias("end"),
+        F.when(F.col("hit").isNull(), F.col("bare"))
+        .otherwise(F.substr("text", F.col("hit.start") + 1, F.col("hit.end") - F.col("hit.start")))
+        .alias("value"),
         _one_space(F.col("c.before")).alias("pattern"),
-        F.get(hit, F.lit(0))["rank"].alias("rank"),
+        F.col("hit.rank").alias("rank"),
     )
 
 
@@ -306,9 +312,10 @@ def redact(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
         cover,
         lambda s: F.concat(F.array_join(s["out"], ""), F.substr(text, s["at"] + 1, F.length(text))),
     )
-    changed = F.size(spans) > 0
-    new = {text_col: F.when(changed, clean).otherwise(F.col(text_col))}
+    (name,) = fresh(out, "redacted")
+    out = out.withColumn(name, F.when(F.size(spans) > 0, clean))
+    new = {text_col: F.coalesce(name, text_col)}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        new["n_chars"] = F.when(changed, F.length(clean).cast(kind)).otherwise(F.col("n_chars"))
+        new["n_chars"] = F.coalesce(F.length(name).cast(kind), "n_chars")
     return out.withColumns(new).select(*docs.columns)
