@@ -169,6 +169,8 @@ LABELLED = (
     (70, 0.0, 8, 0.0, 55, 0.0, 0, 0, 0, 1), (55, 0.05, 70, 0.0, 90, 0.0, 0, 0, 0, 1), (90, 0.1, 55, 0.0, 4, 1.0, 0, 0, 0, 1),
     (8, 0.0, 3, 1.0, 70, 0.0, 0, 0, 1, 1), (6, 0.0, 90, 0.0, 60, 0.0, 0, 0, 1, 1), (4, 0.0, 60, 0.0, 70, 0.0, 0, 0, 0, 1),
     (9, 0.1, 50, 0.0, 80, 0.1, 0, 0, 0, 1), (25, 0.0, 40, 0.0, 5, 1.0, 0, 0, 0, 1), (40, 0.0, 1, 1.0, 25, 0.0, 0, 0, 0, 1),
+    (1, 0.0, 1, 1.0, 60, 0.0, 0, 0, 1, 1), (2, 0.0, 0, 0.0, 80, 0.1, 0, 0, 1, 1), (3, 0.0, 60, 0.0, 50, 0.0, 0, 0, 0, 1),
+    (2, 0.0, 50, 0.0, 30, 0.1, 0, 0, 0, 1), (1, 0.0, 40, 0.0, 45, 0.0, 0, 0, 0, 1), (3, 0.0, 9, 0.0, 60, 0.0, 0, 0, 1, 1),
     # the same without furniture around: link lists, lone short lines, headings over lists
     (1, 1.0, 1, 1.0, 1, 1.0, 0, 0, 0, 0), (2, 1.0, 0, 0.0, 1, 1.0, 0, 0, 0, 0), (3, 1.0, 90, 0.1, 2, 1.0, 0, 0, 0, 0),
     (6, 0.9, 2, 1.0, 4, 1.0, 0, 0, 0, 0), (4, 0.8, 25, 0.0, 0, 0.0, 0, 0, 0, 0), (12, 0.7, 5, 1.0, 7, 0.8, 0, 0, 0, 0),
@@ -182,6 +184,25 @@ LABELLED = (
 )
 
 
+# Where a block's place decides, whatever it and its neighbours are like: within an article, within furniture.
+_SIDES = ((0, 0.0), (3, 1.0), (60, 0.1))
+PLACED = tuple(
+    (words, links, *before, *after, furniture, article, 0, int(not furniture))
+    for words, links in ((1, 0.0), (5, 0.5), (2, 1.0), (40, 0.1))
+    for before in _SIDES
+    for after in _SIDES
+    for furniture, article in ((0, 1), (1, 0), (1, 1))
+)
+# Without either: long text is main text, links aren't, and a short line is what its neighbours are.
+_TEXT = _SIDES[2]
+UNPLACED = tuple(
+    (words, links, *before, *after, 0, 0, 0, int(words > 20 or links < 0.5 and _TEXT in (before, after)))
+    for words, links in ((1, 0.0), (5, 0.1), (2, 1.0), (8, 0.9), (25, 0.1), (60, 0.0))
+    for before in _SIDES
+    for after in _SIDES
+)
+
+
 @dataclass(frozen=True)
 class Node:
     """Rows with measure below limit go to low, others to high; a leaf has a label alone."""
@@ -199,7 +220,7 @@ class Node:
         return np.where(below, self.low.labels(rows), self.high.labels(rows))
 
 
-def grow(rows: np.ndarray, labels: np.ndarray, depth: int = 6, least: int = 1) -> Node:
+def grow(rows: np.ndarray, labels: np.ndarray, depth: int = 8, least: int = 1) -> Node:
     """A classification tree by Gini impurity. Ties: the first measure, then the lowest limit; label 1 in a leaf."""
     label = int(2 * labels.sum() >= len(labels))
     if depth == 0 or labels.min() == labels.max():
@@ -224,7 +245,7 @@ def grow(rows: np.ndarray, labels: np.ndarray, depth: int = 6, least: int = 1) -
 
 @lru_cache(maxsize=1)
 def default_tree() -> Node:
-    table = np.array(LABELLED, float)
+    table = np.array(LABELLED + PLACED + UNPLACED, float)
     return grow(table[:, :-1], table[:, -1].astype(int))
 
 
