@@ -205,7 +205,9 @@ def _buckets(bucket_rows: int):
 def links(distinct: DataFrame, bucket_rows: int = 4096) -> DataFrame:
     """(a, b): links between distinct fingerprints (one column, fp) that join the same ones as all links of 3 or fewer
     differing bits do. At most one link a row of the index is told in large buckets: their size never gets squared."""
-    rows = distinct.mapInArrow(_variants, "k1 long, k2 long, fp long")
+    # few bytes become many: dealt out by number, not by size
+    tasks = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = distinct.repartition(tasks, "fp").mapInArrow(_variants, "k1 long, k2 long, fp long")
     found = None
     for _ in range(3):
         told = written(
@@ -233,7 +235,7 @@ def components(edges: DataFrame) -> DataFrame:
     )
     seen = None
     while True:
-        both = edges.union(edges.select(F.col("u").alias("v"), F.col("v").alias("u")))
+        both = edges.unionByName(edges.select(F.col("u").alias("v"), F.col("v").alias("u")))
         least = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
         # large star: each node's larger neighbours go to its least one
         star = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -244,7 +246,7 @@ def components(edges: DataFrame) -> DataFrame:
         edges = written(
             joined.filter("v <> m")
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .union(least.select("u", F.col("m").alias("v")))
+            .unionByName(least.select("u", F.col("m").alias("v")))
             .distinct(),
             "small",
         )
@@ -285,7 +287,8 @@ def near_duplicates(
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row per row of docs: id, fingerprint (16 hex digits), component_id (see near_duplicates)."""
     rows, groups = near_duplicates(docs, id_col, text_col, **options)
-    return rows.join(groups.select("fp", "component"), "fp").select(
+    # groups grow with the documents: sorted, never broadcast; AQE splits a fingerprint of very many rows
+    return rows.join(groups.select("fp", "component").hint("merge"), "fp").select(
         F.col("id").alias(id_col), hex_of(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id")
     )
 
