@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -11,6 +9,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..storage import shared_dir, written
+
+__all__ = ["UPPER", "WORD", "ascii_lower", "fresh", "shared_dir", "slices", "table", "utf8", "written"]
+
 #: White space that separates words in every operator here: U+0020 and U+0009 to U+000D.
 WORD = "[^\\x20\\x09-\\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -25,21 +27,6 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, UPPER.lower())
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as the session names it; a local one only where none is named."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tessera-"))
-    return sc.getCheckpointDir()
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as Parquet to the shared folder and reads it back: lineage ends here and each row is computed once."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Each name, with underscores put before it until df has no such column."""
     taken, out = {c.lower() for c in df.columns}, []
