@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import os
 
 import duckdb
 import pytest
@@ -81,6 +82,7 @@ def test_streamed_validation(spark, tmp_path):
     for k, (i, text, said) in enumerate(rows):
         line = {"idx": i, "text": text, "transcription": said, "ts": f"2024-01-01T00:0{k}:00Z"}
         (tmp_path / "in" / f"{k}.json").write_text(json.dumps(line))
+        os.utime(tmp_path / "in" / f"{k}.json", (1_700_000_000 + k, 1_700_000_000 + k))  # files are read by age
     stream = validate.validated(validate.arriving(spark, str(tmp_path / "in"), 1), 0.4)
     validate.start(stream, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination(120)
     out = {r.idx: (r.wer, r.accepted) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
