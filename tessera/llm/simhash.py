@@ -304,7 +304,8 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
     keep = written(keep, "keep")
     ident, times, fp, root = fresh(docs, "keep_id", "keep_n", "keep_fp", "keep_root")
-    keep = keep.select(F.col("id").alias(ident), F.col("n").alias(times))
+    # keep grows with the documents: sorted at every size, never broadcast
+    keep = keep.select(F.col("id").alias(ident), F.col("n").alias(times)).hint("merge")
     kept = docs.join(keep, docs[id_col] == keep[ident])
     out = kept.select(*docs.columns)
     if not keep.filter(F.col(times) > 1).isEmpty():
