@@ -88,7 +88,8 @@ def judge(pages: DataFrame, rules: DataFrame, url_col: str = "url", default: str
     host, path, rule, verdict = names = fresh(pages, "host", "path", "rule", "verdict")
     split = pages.withColumns({host: host_of(F.col(url_col)), path: path_of(F.col(url_col))})
     urls = split.select(F.col(host).alias("host"), F.col(path).alias("path")).distinct()
-    found = written(decide(urls, rules), "url-rules").toDF("h", "p", rule, verdict)
+    # found grows with the pages: sorted, never broadcast; AQE splits a url of very many pages
+    found = written(decide(urls, rules), "url-rules").toDF("h", "p", rule, verdict).hint("merge")
     out = split.join(found, (F.col(host) == F.col("h")) & (F.col(path) == F.col("p")), "left")
     return out.select(*pages.columns, host, path, rule, F.coalesce(F.col(verdict), F.lit(default)).alias(verdict))
 
