@@ -1,9 +1,8 @@
 """Personal data: base patterns, and bootstrapped contextual extraction of what they miss.
 
 Native: DataFrame functions only. Base matches seed a graph. A pattern is a lexical context,
-the two words to the left of a word with a digit; its instances are the words that stand
-there. A pattern's confidence is the share of all its occurrences in the corpus that are
-known identifiers, an instance's score is 1 if it is a seed and else that at least one of
+the two words to the left of a word; its instances are the words that stand there. A pattern's
+confidence is the share of all its occurrences in the corpus that are known identifiers, an instance's score is 1 if it is a seed and else that at least one of
 its patterns is right. Rounds of scoring let good patterns raise new instances and those
 raise new patterns; then instances with a high score in patterns of high confidence are
 personal data as well, of the kind of most seeds of their pattern.
@@ -12,7 +11,6 @@ personal data as well, of the kind of most seeds of their pattern.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,8 +28,14 @@ CARD = r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){11,18}+(?![ -]?[0-9])"
 PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone")
 _BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
-#: Words with a digit, from the start of the word.
-CANDIDATE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
+#: Punctuation before and after the letters and digits of a word.
+AROUND = (
+    r"(?<![^\x20\x09-\x0D])[^\p{L}\p{N}\x20\x09-\x0D]++(?=[\p{L}\p{N}])"
+    r"|(?<=[\p{L}\p{N}])[^\p{L}\p{N}\x20\x09-\x0D]++(?![^\x20\x09-\x0D])"
+)
+#: One word that a card number can be, and texts that may have such words.
+CARD_WORD = "[0-9](?:-?[0-9]){11,18}+"
+ALIKE = rf"(?<![\p{{L}}\p{{N}}]){CARD_WORD}(?![\p{{L}}\p{{N}}])"
 
 _SPAN = "struct<start: int, rank: int, kind: string, end: int>"
 
@@ -112,147 +116,210 @@ def _plain(text: Column) -> Column:
     return F.translate(F.lower(text), "123456789", "000000000")
 
 
-def _candidates(text: Column) -> Column:
-    """{start, end, found, context} of the words with a digit; context: the two words before, null where there are none."""
-
-    def contexts(all_: Column) -> Column:
-        return F.transform(
-            all_,
-            lambda e: F.struct(
-                e["start"],
-                e["end"],
-                e["found"],
-                # a context of more than 200 characters is none
-                F.regexp_extract(
-                    F.substr(text, F.greatest(e["start"] - 199, F.lit(1)), F.least(e["start"], F.lit(200))),
-                    rf"(?:^|[\x20\x09-\x0D])({WORD}[\x20\x09-\x0D]+{WORD})[\x20\x09-\x0D]+$",
-                    1,
-                ).alias("before"),
-            ),
-        )
+def _bare(text: Column) -> Column:
+    """The text without punctuation around its words; words of punctuation alone stay, so words keep their numbers."""
+    return F.regexp_replace(text, AROUND, "")
+
+
+def _words(text: Column) -> Column:
+    trimmed = F.btrim(text, F.lit(" \t\n\x0b\x0c\r"))
+    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, r"[\x20\x09-\x0D]+"))
 
-    return F.when(text.rlike("[0-9]"), _bind(_located(text, CANDIDATE), contexts))
+
+def _numbered(text: Column, spans: Column) -> Column:
+    """{first, last, value, rank} of spans: the numbers, from 0, of their first and last words, and what they hold."""
+
+    def number(end: Column) -> Column:
+        return F.size(_words(F.substr(text, F.lit(1), end))) - 1
+
+    return F.transform(
+        spans,
+        lambda s: F.struct(
+            number(s["start"] + 1).alias("first"),
+            number(s["end"]).alias("last"),
+            F.substr(text, s["start"] + 1, s["end"] - s["start"]).alias("value"),
+            s["rank"].alias("rank"),
+        ),
+    )
 
 
-def _one_space(words: Column) -> Column:
-    return F.regexp_replace(_plain(words), r"[\x20\x09-\x0D]+", " ")
+def _pattern() -> Column:
+    """The two words before word number at of w; null where there are none."""
+    return F.concat(F.get("w", F.col("at") - 2), F.lit(" "), F.get("w", F.col("at") - 1))
 
 
-def occurrences(texts: DataFrame, spans: str = "base") -> DataFrame:
-    """(sha, start, end, value, pattern, rank) of candidates in texts (text, base spans) that have a context.
+def _held(rows: DataFrame) -> DataFrame:
+    """rows (spans, at, bare, ...) with value and rank of word number at.
 
     Where a base span begins in the word, rank is the span's and value all of it; words further inside a span are left
-    out. Otherwise rank is null and value the word without punctuation around it.
+    out. Otherwise rank is null and value the word without punctuation around it, which has to hold a letter or digit.
     """
-    made = texts.select(
-        "text", F.sha2("text", 256).alias("sha"), F.col(spans), F.explode(_candidates(F.col("text"))).alias("c")
-    ).filter(F.col("c.before") != "")
-    hit = F.get(F.filter(spans, lambda b: (b["start"] < F.col("c.end")) & (b["end"] > F.col("c.start"))), F.lit(0))
-    lead = F.length(F.regexp_extract("c.found", r"^[^\p{L}\p{N}]*", 0))
-    bare = F.regexp_extract("c.found", r"^[^\p{L}\p{N}]*(.*?)[^\p{L}\p{N}]*$", 1)
-    made = made.withColumns({"hit": hit, "bare": bare, "lead": lead})
-    return made.filter(F.col("hit").isNull() | (F.col("hit.start") >= F.col("c.start"))).select(
-        "sha",
-        (F.col("c.start") + F.col("lead")).alias("start"),
-        (F.col("c.start") + F.col("lead") + F.length("bare")).alias("end"),
-        F.when(F.col("hit").isNull(), F.col("bare"))
-        .otherwise(F.substr("text", F.col("hit.start") + 1, F.col("hit.end") - F.col("hit.start")))
-        .alias("value"),
-        _one_space(F.col("c.before")).alias("pattern"),
-        F.col("hit.rank").alias("rank"),
+    over = F.filter("spans", lambda b: (b["first"] <= F.col("at")) & (b["last"] >= F.col("at")))
+    rows = rows.withColumn("hit", F.when(F.size("spans") > 0, F.get(over, F.lit(0))))
+    rows = rows.filter(F.when(F.col("hit").isNull(), F.col("bare").rlike(r"[\p{L}\p{N}]")).otherwise(F.col("hit.first") == F.col("at")))
+    return rows.withColumns({"value": F.coalesce("hit.value", "bare"), "rank": F.col("hit.rank")})
+
+
+def _texts(texts: DataFrame) -> DataFrame:
+    text = F.col("text")
+    return texts.select(
+        F.sha2(text, 256).alias("sha"),
+        _numbered(text, F.col("base")).alias("spans"),
+        _words(_plain(text)).alias("w"),
+        _words(_bare(text)).alias("v"),
+    )
+
+
+def in_patterns(texts: DataFrame, patterns: DataFrame) -> DataFrame:
+    """(sha, at, pattern, value, rank) of all words of texts (text, base spans) that stand in patterns (see _held)."""
+    rows = _texts(texts).select("sha", "spans", "w", F.posexplode("v").alias("at", "bare")).filter("at >= 2")
+    rows = rows.withColumn("pattern", _pattern()).join(patterns.select("pattern"), "pattern")
+    return _held(rows).select("sha", "at", "pattern", "value", "rank")
+
+
+def _counted(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("pattern", "value").agg(F.count("*").alias("n"), F.max("rank").alias("rank"))
+
+
+def _of_values(texts: DataFrame, values: DataFrame) -> DataFrame:
+    """(pattern, value, n, rank) of all words that hold one of values and have a context."""
+    rows = _texts(texts).select("spans", "w", F.posexplode("v").alias("at", "bare")).filter("at >= 2")
+    rows = rows.join(values.select(F.col("value").alias("bare")), "bare")
+    return _counted(_held(rows).filter("rank IS NULL").withColumn("pattern", _pattern()))
+
+
+def _seeds(texts: DataFrame) -> DataFrame:
+    """(pattern, value, n, rank) of the words with a context in which a base span begins; rank is null for words that
+    look like one but are none there, as card numbers beside another number."""
+    rows = _texts(texts.filter(F.size("base") > 0)).select(
+        "spans", "w", "v", F.explode(F.array_distinct(F.transform("spans", lambda s: s["first"]))).alias("at")
     )
+    begun = _held(rows.withColumn("bare", F.get("v", F.col("at"))))
+    alike = _texts(texts.filter(F.col("text").rlike(ALIKE))).select("spans", "w", F.posexplode("v").alias("at", "bare"))
+    alike = _held(alike.filter(F.col("bare").rlike(f"^{CARD_WORD}$"))).filter("rank IS NULL")
+    columns = [_pattern().alias("pattern"), "value", "rank"]
+    both = begun.filter("at >= 2").select(*columns).unionByName(alike.filter("at >= 2").select(*columns))
+    return written(_counted(both), "pairs")
 
 
 def _totals(texts: DataFrame, patterns: DataFrame) -> DataFrame:
     """(pattern, total): how often the two words of each pattern stand before a word in texts."""
-    words = F.filter(F.split(_plain(F.col("text")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    before = texts.select(words.alias("w")).filter(F.size("w") > 2)
-    before = before.select(
-        F.explode(
-            F.zip_with(
-                F.slice("w", F.lit(1), F.size("w") - 2),
-                F.slice("w", F.lit(2), F.size("w") - 2),
-                lambda a, b: F.concat(a, F.lit(" "), b),
-            )
-        ).alias("pattern")
-    )
+    rows = texts.select(_words(_plain(F.col("text"))).alias("w"))
+    rows = rows.select("w", F.posexplode("w").alias("at", "word")).filter("at >= 2").select(_pattern().alias("pattern"))
     # whatever the number of patterns: Spark broadcasts them below its own threshold, and else sorts
-    return written(before.join(patterns, "pattern").groupBy("pattern").agg(F.count("*").alias("total")), "totals")
+    return written(rows.join(patterns, "pattern").groupBy("pattern").agg(F.count("*").alias("total")), "totals")
+
+
+def _also(done: DataFrame | None, more: DataFrame) -> DataFrame:
+    return more if done is None else done.unionByName(more)
+
+
+def _other(rows: DataFrame, done: DataFrame | None, key: str, name: str) -> DataFrame:
+    """The distinct keys of rows that done doesn't have."""
+    keys = rows.select(key).distinct()
+    return written(keys if done is None else keys.join(done.select(key).distinct(), key, "left_anti"), name)
 
 
 def learn(
     texts: DataFrame, *, support: int = 3, confidence: float = 0.8, score: float = 0.9, rounds: int = 3
-) -> tuple[DataFrame, DataFrame]:
-    """(found, seen): found has (pattern, value, rank) of instances discovered, seen the occurrences of all candidates.
+) -> DataFrame | None:
+    """(sha, at, rank) of the words that are instances discovered, by number in the text of that digest; None without any.
 
-    texts: (text, base). A pattern counts with support distinct values and the given confidence at least. Every text
-    is read whole, for the candidates and for the number of times that each pattern's words stand before a word.
+    texts: (text, base). A pattern counts with support distinct known values and the given confidence at least. Candidates
+    are the words in which a base span begins, all words that stand in a pattern of such a word, and all words with a
+    digit. Every text is read whole, for them and for the number of times that each pattern's words stand before a word.
     """
-    seen = written(occurrences(texts), "candidates")
-    empty = seen.select("pattern", "value", "rank").limit(0)
-    pairs = seen.groupBy("pattern", "value").agg(F.count("*").alias("n"), F.max("rank").alias("rank"))
-    pairs = written(pairs, "pairs")
-    wide = pairs.groupBy("pattern").agg(F.count("*").alias("values"), F.count("rank").alias("seeds"))
-    wide = written(wide.filter(F.col("values") >= support).select("pattern"), "patterns")
-    if pairs.filter("rank IS NOT NULL").isEmpty() or wide.isEmpty():
-        return empty, seen
-    # in texts with a digit alone: no more than all occurrences, so patterns that fall below here fall below at all
-    few = _totals(texts.filter(F.col("text").rlike("[0-9]")), wide)
-    most = pairs.groupBy("pattern").agg(F.sum("n").alias("n")).join(few, "pattern")
-    likely = written(most.filter(F.col("n") >= F.col("total") * confidence).select("pattern"), "likely")
-    if likely.isEmpty():
-        return empty, seen
-    totals = _totals(texts, likely)
-    graph = written(pairs.join(totals, "pattern"), "graph")
-    seeds = graph.filter("rank IS NOT NULL").select("value").distinct()
-    scores = written(seeds.withColumn("score", F.lit(1.0)), "scores")
-    good = None
+    pairs = _seeds(texts)
+    begun = pairs.filter("rank IS NOT NULL")
+    seeds = written(begun.select("value").distinct(), "seeds")
+    if seeds.isEmpty():
+        return None
+    seeded = begun.select("pattern").distinct()
+    with_digit = F.col("value").rlike("[0-9]")
+
+    def candidates(rows: DataFrame) -> DataFrame:
+        return rows.filter(with_digit).unionByName(rows.filter(~with_digit).join(seeded, "pattern", "left_semi"))
+
+    edges = written(pairs.join(seeds, "value"), "edges")  # all occurrences of known values
+    scores = seeds.withColumn("score", F.lit(1.0))
+    totals = opened = held = reached = good = None
     for _ in range(rounds):
-        scored = graph.join(scores, "value")
-        good = (
-            scored.groupBy("pattern")
+        known = (
+            edges.join(scores, "value")
+            .groupBy("pattern")
             .agg(
-                F.count("*").alias("known"),
-                (F.sum(F.col("n") * F.col("score")) / F.max("total")).alias("conf"),
-                F.mode("rank").alias("kind"),
+                F.count("*").alias("known"), F.sum(F.col("n") * F.col("score")).alias("mass"), F.mode("rank").alias("kind")
             )
-            .filter((F.col("known") >= support) & (F.col("conf") >= confidence))
+            .filter(F.col("known") >= support)
         )
-        good = written(good, "good")
+        known = written(known, "known")
+        more = _other(known, totals, "pattern", "uncounted")
+        if not more.isEmpty():
+            totals = _also(totals, _totals(texts, more))
+        if totals is None:
+            return None
+        conf = (F.col("mass") / F.col("total")).alias("conf")
+        good = written(known.join(totals, "pattern").select("pattern", "kind", conf).filter(F.col("conf") >= confidence), "good")
         if good.isEmpty():
-            return empty, seen
+            return None
+        more = _other(good, opened, "pattern", "opened")
+        if not more.isEmpty():
+            opened = _also(opened, more)
+            words = written(in_patterns(texts, more).filter("rank IS NULL").drop("rank"), "words")
+            held = _also(held, written(candidates(words).join(seeds, "value", "left_anti"), "held"))
         doubt = F.exp(F.sum(F.log(F.greatest(1 - F.col("conf"), F.lit(1e-6)))))
-        raised = graph.join(good, "pattern").groupBy("value").agg((1 - doubt).alias("score"))
-        scores = written(
-            seeds.withColumn("score", F.lit(1.0)).union(raised.join(seeds, "value", "left_anti").select("value", "score")),
-            "scores",
-        )
-    new = graph.filter("rank IS NULL").join(scores.filter(F.col("score") >= score), "value").join(good, "pattern")
-    return written(new.select("pattern", "value", F.coalesce("kind", F.lit(0)).alias("rank")), "found"), seen
+        raised = held.select("pattern", "value").distinct().join(good, "pattern").groupBy("value").agg((1 - doubt).alias("score"))
+        raised = written(raised, "raised")
+        more = _other(raised, reached, "value", "reached")
+        if not more.isEmpty():
+            reached = _also(reached, more)
+            found = written(_of_values(texts, more), "values")
+            edges = edges.unionByName(written(candidates(found), "edges"))
+        scores = seeds.withColumn("score", F.lit(1.0)).unionByName(raised)
+    new = held.join(scores.filter(F.col("score") >= score), "value").join(good, "pattern")
+    found = written(new.select("sha", "at", F.coalesce("kind", F.lit(0)).alias("rank")).distinct(), "found")
+    return None if found.isEmpty() else found
+
+
+def _placed(text: Column, found: Column) -> Column:
+    """Spans of found words {at, rank} of a text."""
+    kinds = F.array(*map(F.lit, KINDS))
+
+    def place(t: Column) -> Column:
+        def one(f: Column) -> Column:
+            word = F.get(t["words"], f["at"])
+            start = (
+                F.length(F.array_join(F.slice(t["gaps"], F.lit(1), f["at"] + 1), ""))
+                + F.length(F.array_join(F.slice(t["words"], F.lit(1), f["at"]), ""))
+                + F.length(F.regexp_extract(word, r"^[^\p{L}\p{N}]*", 0))
+            )
+            return F.struct(
+                start.alias("start"),
+                f["rank"].cast("int").alias("rank"),
+                F.get(kinds, f["rank"]).alias("kind"),
+                (start + F.length(_bare(word))).alias("end"),
+            )
+
+        return F.transform(found, one)
+
+    return _bind(F.struct(F.split(text, WORD, -1).alias("gaps"), _words(text).alias("words")), place).cast(f"array<{_SPAN}>")
 
 
 def _with_spans(docs: DataFrame, text_col: str, base: str, spans: str, **options) -> DataFrame:
     """docs with two more columns, both {start, rank, kind, end} in order: base spans, and all spans."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     with_base = docs.withColumn(base, base_spans(text))
-    found, seen = learn(docs.select(text.alias("text")).withColumn("base", base_spans(F.col("text"))), **options)
-    if found.isEmpty():
+    found = learn(docs.select(text.alias("text")).withColumn("base", base_spans(F.col("text"))), **options)
+    if found is None:
         return with_base.withColumn(spans, F.col(base))
-    kind = F.element_at(F.array(*map(F.lit, KINDS)), F.col("rank") + 1)
-    more = (
-        seen.filter("rank IS NULL")
-        .drop("rank")
-        .join(found, ["pattern", "value"])
-        .select("sha", F.struct("start", F.col("rank").cast("int").alias("rank"), kind.alias("kind"), "end").alias("span"))
-        .distinct()
-        .groupBy("sha")
-        .agg(F.collect_list("span").alias("more"))  # of one text
-    )
-    more = written(more, "more").toDF("more_sha", "more_spans")
-    name, added = fresh(with_base, "text_sha", "more_spans")
-    keyed = with_base.withColumn(name, F.when(text.rlike("[0-9]"), F.sha2(text, 256)))
+    more = found.groupBy("sha").agg(F.collect_list(F.struct("at", "rank")).alias("more"))  # of one text
+    more = written(more, "more")
+    name, added = fresh(with_base, "text_sha", "more_words")
+    keyed = with_base.withColumn(name, F.when(text != "", F.sha2(text, 256)))
     joined = keyed.join(more.toDF(f"{name}_", added), F.col(name) == F.col(f"{name}_"), "left")
-    every = F.array_sort(F.concat(F.col(base), F.coalesce(F.col(added), F.array().cast(f"array<{_SPAN}>"))))
+    every = F.when(F.col(added).isNull(), F.col(base)).otherwise(
+        F.array_sort(F.concat(F.col(base), _placed(text, F.col(added))))
+    )
     return joined.withColumn(spans, every).drop(name, f"{name}_", added)
 
 

@@ -105,6 +105,15 @@ def test_overlapping_spans_are_one(spark):
     assert pii.redact(df).first().text == "x +[CARD] y [EMAIL]"
 
 
+def test_identifiers_without_digits_are_seeds_and_instances(spark):
+    names = ["anna", "berta", "carla", "dora", "emma", "frida", "greta", "hanna", "ida", "jana", "kira", "lena"]
+    rows = [(k, f"so do write to ({n}@example.com), they said") for k, n in enumerate(names)]
+    rows += [(50, "you may write to jane.doe(at)example.com, they said")]
+    rows += [(60 + k, f"go to see {n}, they said") for k, n in enumerate(names)]
+    got = {r.doc_id: r.spans for r in pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[50] == "email:17:40" and all(got[60 + k] == "" for k in range(12))
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert pii.personal_data(df).count() == 0 and pii.redact(df).count() == 0
