@@ -4,7 +4,7 @@ Native: DataFrame functions only. Base matches seed a graph. A pattern is a lexi
 the two words to the left of a word; its instances are the words that stand there. A pattern's
 confidence is the share of all its occurrences in the corpus that are known identifiers, an instance's score is 1 if it is a seed and else that at least one of
 its patterns is right. Rounds of scoring let good patterns raise new instances and those
-raise new patterns; then instances with a high score in patterns of high confidence are
+raise new patterns, until nothing changes; then instances with a high score in patterns of high confidence are
 personal data as well, of the kind of most seeds of their pattern.
 """
 
@@ -37,6 +37,9 @@ AROUND = (
 CARD_WORD = "[0-9](?:-?[0-9]){11,18}+"
 ALIKE = rf"(?<![\p{{L}}\p{{N}}]){CARD_WORD}(?![\p{{L}}\p{{N}}])"
 
+#: Scores have settled when their sums move by less in a round.
+SETTLED = 1e-6
+
 _SPAN = "struct<start: int, rank: int, kind: string, end: int>"
 
 
@@ -221,13 +224,14 @@ def _other(rows: DataFrame, done: DataFrame | None, key: str, name: str) -> Data
 
 
 def learn(
-    texts: DataFrame, *, support: int = 3, confidence: float = 0.8, score: float = 0.9, rounds: int = 3
+    texts: DataFrame, *, support: int = 3, confidence: float = 0.8, score: float = 0.9, rounds: int = 1000
 ) -> DataFrame | None:
     """(sha, at, rank) of the words that are instances discovered, by number in the text of that digest; None without any.
 
     texts: (text, base). A pattern counts with support distinct known values and the given confidence at least. Candidates
     are the words in which a base span begins, all words that stand in a pattern of such a word, and all words with a
     digit. Every text is read whole, for them and for the number of times that each pattern's words stand before a word.
+    Scoring goes on until patterns, instances and scores have settled; rounds is a guard that raises.
     """
     pairs = _seeds(texts)
     begun = pairs.filter("rank IS NOT NULL")
@@ -240,43 +244,60 @@ def learn(
     def candidates(rows: DataFrame) -> DataFrame:
         return rows.filter(with_digit).unionByName(rows.filter(~with_digit).join(seeded, "pattern", "left_semi"))
 
+    sizes: dict[str, int] = {}
+
+    def grew(name: str, rows: DataFrame) -> bool:
+        """Scores only ever grow, and the sets with them: one of the same size is the same."""
+        before, sizes[name] = sizes.get(name, 0), rows.count()
+        return sizes[name] > before
+
     edges = written(pairs.join(seeds, "value"), "edges")  # all occurrences of known values
-    scores = seeds.withColumn("score", F.lit(1.0))
+    given = seeds.withColumns({"score": F.lit(1.0), "as": F.lit(None).cast("int")})
+    kind = F.coalesce(F.mode("rank"), F.mode("as", True))  # of most seeds, or else of most instances raised
+    scores = given
     totals = opened = held = reached = good = None
-    for _ in range(rounds):
+    was = None
+    for done in range(rounds + 1):
+        if done == rounds:
+            raise RuntimeError(f"pattern and instance scores still change after {rounds} rounds")
         known = (
             edges.join(scores, "value")
             .groupBy("pattern")
             .agg(
-                F.count("*").alias("known"), F.sum(F.col("n") * F.col("score")).alias("mass"), F.mode("rank").alias("kind")
+                F.count("*").alias("known"), F.sum(F.col("n") * F.col("score")).alias("mass"), kind.alias("kind")
             )
             .filter(F.col("known") >= support)
         )
         known = written(known, "known")
-        more = _other(known, totals, "pattern", "uncounted")
-        if not more.isEmpty():
-            totals = _also(totals, _totals(texts, more))
+        if grew("known", known):
+            totals = _also(totals, _totals(texts, _other(known, totals, "pattern", "uncounted")))
         if totals is None:
             return None
         conf = (F.col("mass") / F.col("total")).alias("conf")
         good = written(known.join(totals, "pattern").select("pattern", "kind", conf).filter(F.col("conf") >= confidence), "good")
         if good.isEmpty():
             return None
-        more = _other(good, opened, "pattern", "opened")
-        if not more.isEmpty():
+        if grew("good", good):
+            more = _other(good, opened, "pattern", "opened")
             opened = _also(opened, more)
             words = written(in_patterns(texts, more).filter("rank IS NULL").drop("rank"), "words")
             held = _also(held, written(candidates(words).join(seeds, "value", "left_anti"), "held"))
         doubt = F.exp(F.sum(F.log(F.greatest(1 - F.col("conf"), F.lit(1e-6)))))
-        raised = held.select("pattern", "value").distinct().join(good, "pattern").groupBy("value").agg((1 - doubt).alias("score"))
+        raised = held.select("pattern", "value").distinct().join(good, "pattern").groupBy("value").agg(
+            (1 - doubt).alias("score"), F.mode("kind", True).alias("as")
+        )
         raised = written(raised, "raised")
-        more = _other(raised, reached, "value", "reached")
-        if not more.isEmpty():
+        if grew("raised", raised):
+            more = _other(raised, reached, "value", "reached")
             reached = _also(reached, more)
             found = written(_of_values(texts, more), "values")
             edges = edges.unionByName(written(candidates(found), "edges"))
-        scores = seeds.withColumn("score", F.lit(1.0)).unionByName(raised)
-    new = held.join(scores.filter(F.col("score") >= score), "value").join(good, "pattern")
+        scores = given.unionByName(raised)
+        now = good.agg(F.count("*"), F.sum("conf")).first() + raised.agg(F.count("*"), F.sum("score")).first()
+        if was and all(abs((x or 0) - (y or 0)) < SETTLED for x, y in zip(was, now, strict=True)):
+            break
+        was = now
+    new = held.join(scores.filter(F.col("score") >= score).select("value"), "value").join(good, "pattern")
     found = written(new.select("sha", "at", F.coalesce("kind", F.lit(0)).alias("rank")).distinct(), "found")
     return None if found.isEmpty() else found
 

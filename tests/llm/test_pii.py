@@ -114,6 +114,20 @@ def test_identifiers_without_digits_are_seeds_and_instances(spark):
     assert got[50] == "email:17:40" and all(got[60 + k] == "" for k in range(12))
 
 
+def test_scoring_follows_chains_to_their_end(spark):
+    rows = [f"first ring +1 (202) 555-{k:04d} now" for k in range(20)]
+    # context k has what context k - 1 made known, and a few that only it makes known
+    for k in range(1, 7):
+        before = "first ring" if k == 1 else f"{'abcdefg'[k - 1]} ring"
+        rows += [f"{before} id{k}x{j} now" for j in range(4)] + [f"{'abcdefg'[k]} ring id{k}x{j} now" for j in range(4)] * 5
+    rows += ["g ring 7-last now"] * 2
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.personal_data(df).collect()}
+    for k in range(20, len(rows)):
+        at = len(" ".join(rows[k].split()[:2])) + 1
+        assert got[k] == f"phone:{at}:{len(rows[k]) - 4}", rows[k]
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert pii.personal_data(df).count() == 0 and pii.redact(df).count() == 0
