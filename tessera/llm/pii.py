@@ -35,7 +35,7 @@ AROUND = (
 )
 #: One word that a card number can be, and texts that may have such words.
 CARD_WORD = "[0-9](?:-?[0-9]){11,18}+"
-ALIKE = rf"(?<![\p{{L}}\p{{N}}]){CARD_WORD}(?![\p{{L}}\p{{N}}])"
+ALIKE = "[0-9](?:-?[0-9]){11}"
 
 #: Scores have settled when their sums move by less in a round.
 SETTLED = 1e-6
@@ -146,9 +146,22 @@ def _numbered(text: Column, spans: Column) -> Column:
     )
 
 
-def _pattern() -> Column:
-    """The two words before word number at of w; null where there are none."""
-    return F.concat(F.get("w", F.col("at") - 2), F.lit(" "), F.get("w", F.col("at") - 1))
+def _triples(words: str, third: str) -> Column:
+    """{a, b, word} of each place from the third word on: the two words before it and what it holds.
+
+    Built before texts are exploded, so a word's row doesn't carry its text.
+    """
+    n = F.greatest(F.size(words) - 2, F.lit(0))
+    return F.arrays_zip(
+        F.slice(words, F.lit(1), n).alias("a"), F.slice(words, F.lit(2), n).alias("b"), F.slice(third, F.lit(3), n).alias("word")
+    )
+
+
+def _each(rows: DataFrame, *keep: str) -> DataFrame:
+    """(*keep, at, pattern, bare) of every word with a context in rows (w, v, ...)."""
+    rows = rows.select(*keep, F.posexplode(_triples("w", "v")).alias("k", "t"))
+    pattern = F.concat("t.a", F.lit(" "), "t.b").alias("pattern")
+    return rows.select(*keep, (F.col("k") + 2).alias("at"), pattern, F.col("t.word").alias("bare"))
 
 
 def _held(rows: DataFrame) -> DataFrame:
@@ -175,8 +188,7 @@ def _texts(texts: DataFrame) -> DataFrame:
 
 def in_patterns(texts: DataFrame, patterns: DataFrame) -> DataFrame:
     """(sha, at, pattern, value, rank) of all words of texts (text, base spans) that stand in patterns (see _held)."""
-    rows = _texts(texts).select("sha", "spans", "w", F.posexplode("v").alias("at", "bare")).filter("at >= 2")
-    rows = rows.withColumn("pattern", _pattern()).join(patterns.select("pattern"), "pattern")
+    rows = _each(_texts(texts), "sha", "spans").join(patterns.select("pattern"), "pattern")
     return _held(rows).select("sha", "at", "pattern", "value", "rank")
 
 
@@ -185,30 +197,36 @@ def _counted(rows: DataFrame) -> DataFrame:
 
 
 def _of_values(texts: DataFrame, values: DataFrame) -> DataFrame:
-    """(pattern, value, n, rank) of all words that hold one of values and have a context."""
-    rows = _texts(texts).select("spans", "w", F.posexplode("v").alias("at", "bare")).filter("at >= 2")
-    rows = rows.join(values.select(F.col("value").alias("bare")), "bare")
-    return _counted(_held(rows).filter("rank IS NULL").withColumn("pattern", _pattern()))
+    """(pattern, value, n, rank) of all words that hold one of values, have a context and are no part of base spans."""
+    rows = _each(_texts(texts), "spans").join(values.select(F.col("value").alias("bare")), "bare")
+    return _counted(_held(rows).filter("rank IS NULL"))
 
 
 def _seeds(texts: DataFrame) -> DataFrame:
     """(pattern, value, n, rank) of the words with a context in which a base span begins; rank is null for words that
     look like one but are none there, as card numbers beside another number."""
-    rows = _texts(texts.filter(F.size("base") > 0)).select(
-        "spans", "w", "v", F.explode(F.array_distinct(F.transform("spans", lambda s: s["first"]))).alias("at")
-    )
-    begun = _held(rows.withColumn("bare", F.get("v", F.col("at"))))
-    alike = _texts(texts.filter(F.col("text").rlike(ALIKE))).select("spans", "w", F.posexplode("v").alias("at", "bare"))
+
+    def begun(t: Column) -> Column:
+        at = F.filter(F.array_distinct(F.transform(t["spans"], lambda s: s["first"])), lambda k: k >= 2)
+        pattern = lambda k: F.concat(F.get(t["w"], k - 2), F.lit(" "), F.get(t["w"], k - 1))
+        return F.transform(at, lambda k: F.struct(k.alias("at"), pattern(k).alias("pattern"), F.get(t["v"], k).alias("bare")))
+
+    # two steps: base spans are found once, and words only where there are some
+    text = F.col("text")
+    words = F.struct(_numbered(text, F.col("base")).alias("spans"), _words(_plain(text)).alias("w"), _words(_bare(text)).alias("v"))
+    rows = texts.select("text", "base").select(F.when(F.size("base") > 0, words).alias("t"))
+    rows = rows.select(F.col("t.spans").alias("spans"), F.explode(_bind(F.col("t"), begun)).alias("b"))
+    rows = _held(rows.select("spans", "b.*"))
+    alike = _each(_texts(texts.filter(F.col("text").rlike(ALIKE))), "spans")
     alike = _held(alike.filter(F.col("bare").rlike(f"^{CARD_WORD}$"))).filter("rank IS NULL")
-    columns = [_pattern().alias("pattern"), "value", "rank"]
-    both = begun.filter("at >= 2").select(*columns).unionByName(alike.filter("at >= 2").select(*columns))
-    return written(_counted(both), "pairs")
+    columns = ["pattern", "value", "rank"]
+    return written(_counted(rows.select(*columns).unionByName(alike.select(*columns))), "pairs")
 
 
 def _totals(texts: DataFrame, patterns: DataFrame) -> DataFrame:
     """(pattern, total): how often the two words of each pattern stand before a word in texts."""
     rows = texts.select(_words(_plain(F.col("text"))).alias("w"))
-    rows = rows.select("w", F.posexplode("w").alias("at", "word")).filter("at >= 2").select(_pattern().alias("pattern"))
+    rows = _each(rows.withColumn("v", F.col("w"))).select("pattern")
     # whatever the number of patterns: Spark broadcasts them below its own threshold, and else sorts
     return written(rows.join(patterns, "pattern").groupBy("pattern").agg(F.count("*").alias("total")), "totals")
 
