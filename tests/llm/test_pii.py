@@ -128,6 +128,16 @@ def test_scoring_follows_chains_to_their_end(spark):
         assert got[k] == f"phone:{at}:{len(rows[k]) - 4}", rows[k]
 
 
+def test_contexts_of_any_length(spark):
+    long = "https://example.org/" + "path/" * 60
+    rows = [(k, f"see {long} phone{' ' * 300}+1 (202) 555-{k:04d} today") for k in range(12)]
+    rows += [(20, f"see {long} phone 555-0177 today"), (21, f"see {long}{' ' * 500}phone\t(555-0178), today")]
+    got = {r.doc_id: r.spans for r in pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k in (20, 21):
+        at = dict(rows)[k].index("555-")
+        assert got[k] == f"phone:{at}:{at + 8}"
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert pii.personal_data(df).count() == 0 and pii.redact(df).count() == 0
