@@ -273,7 +273,7 @@ def learn(
     given = seeds.withColumns({"score": F.lit(1.0), "as": F.lit(None).cast("int")})
     kind = F.coalesce(F.mode("rank"), F.mode("as", True))  # of most seeds, or else of most instances raised
     scores = given
-    totals = opened = held = reached = good = None
+    lower = totals = opened = held = reached = good = None
     was = None
     for done in range(rounds + 1):
         if done == rounds:
@@ -288,11 +288,17 @@ def learn(
         )
         known = written(known, "known")
         if grew("known", known):
-            totals = _also(totals, _totals(texts, _other(known, totals, "pattern", "uncounted")))
+            lower = _also(lower, _totals(texts.filter(F.col("text").rlike(r"@|\+[0-9]")), _other(known, lower, "pattern", "unbounded")))
+        # some texts hold no more than all: patterns that fall below the confidence in them fall below it at all
+        if lower is None:
+            return None
+        likely = written(known.join(lower, "pattern", "left").filter(F.col("mass") >= F.coalesce("total", F.lit(0)) * confidence).select(known.columns), "likely")
+        if grew("likely", likely):
+            totals = _also(totals, _totals(texts, _other(likely, totals, "pattern", "uncounted")))
         if totals is None:
             return None
         conf = (F.col("mass") / F.col("total")).alias("conf")
-        good = written(known.join(totals, "pattern").select("pattern", "kind", conf).filter(F.col("conf") >= confidence), "good")
+        good = written(likely.join(totals, "pattern").select("pattern", "kind", conf).filter(F.col("conf") >= confidence), "good")
         if good.isEmpty():
             return None
         if grew("good", good):
