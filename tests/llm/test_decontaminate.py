@@ -49,7 +49,7 @@ def frame(spark, docs):
 
 
 def columns(r):
-    return (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated, r.longest)
+    return (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated)
 
 
 def test_all_rows_as_by_brute_force(spark):
@@ -57,8 +57,38 @@ def test_all_rows_as_by_brute_force(spark):
     bench = spark.createDataFrame(items, "item_id long, text string")
     for options in ({}, {"shard_words": 40}, {"block_bytes": 60}):
         got = d.contamination(frame(spark, docs), bench, **options).collect()
-        want = [(i, *brute(t, items)) for i, t in docs]
+        want = [(i, *brute(t, items)[:5]) for i, t in docs]
         assert sorted(((r.doc_id, *columns(r)) for r in got), key=str) == sorted(want, key=str)
+        found, names = d.find_matches(frame(spark, docs), bench, **options)
+        lengths = sorted(((r.doc_id, r[names[3]]) for r in found.collect()), key=str)
+        assert lengths == sorted(((i, brute(t, items)[5]) for i, t in docs), key=str)
+
+
+def test_five_million_words_and_several_blocks(spark):
+    rng = random.Random(5)
+    words = [f"w{k}" for k in range(5000)]
+    items = [(k, " ".join(rng.choice(words) for _ in range(200))) for k in range(40)]
+    body = rng.choices(words, k=5_000_000)
+    want = 0
+    for n, (k, length) in enumerate(((3, 200), (17, 25), (39, 10), (8, 120))):
+        at = (1 << 20) * (n + 1) - 7  # across the ends of shards
+        body[at : at + length] = items[k][1].split()[:length]
+        want += length
+    docs = spark.createDataFrame([(0, " ".join(body)), (1, "x" * (5 << 20) + " " + items[5][1])], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {r.doc_id: r for r in d.contamination(docs, bench, block_bytes=10_000).collect()}
+    assert (got[0].n_words, got[0].n_hit, got[0].n_items) == (5_000_000, want, 4)
+    assert (got[1].n_words, got[1].n_hit, got[1].n_items) == (201, 200, 1)
+    found, names = d.find_matches(docs, bench, block_bytes=10_000)
+    assert sorted(r[0] for r in found.select(names[3]).collect()) == [200, 200]
+
+
+def test_longest_match_goes_on_through_repeated_words():
+    for text, item in (("a " * 400, "a " * 150), ("x " + "a b " * 60 + "a a", "a b " * 31 + "c"), ("a " * 30, "b " + "a " * 25 + "a")):
+        bench = d.Benchmark([("1", item.encode()), ("2", b"a " * 11)], 10)
+        found = [d._Found()]
+        d._match([d.numbers_of(text.encode(), bench.vocab.get)], found, bench, 64)
+        assert found[0].longest == brute(text, [("1", item), ("2", "a " * 11)])[5]
 
 
 def test_clean_rows_stay_with_their_columns(spark):
