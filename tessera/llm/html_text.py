@@ -1,15 +1,17 @@
 """Main text of web pages: flat text blocks, judged by a decision tree.
 
-A page is cut into blocks at block-level tags. A block's measures are its words and link
-density, those of its neighbours, and where it stands: within an article, within an element
-that is page furniture by its tag, or by the words of its class, id or role. A small
-decision tree, grown here on the labelled blocks below, tells main text from the rest.
+A page is cut into blocks at block-level tags, by one scan from its first to its last
+character. A block's measures are its words and link density, those of its neighbours, and
+where it stands: in an article, in an element that is page furniture by its tag, or by the
+words of its class, id or role, in a paragraph, in a heading. A small decision tree, grown
+here on the labelled pages below, tells main text from the rest.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -25,35 +27,54 @@ from .common import fresh, slices
 # Tag names as HTML defines them.
 BLOCK_TAGS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure"
-    " footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p"
+    " footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p"
     " pre search section summary table tbody td tfoot th thead tr ul".split()
 )
 #: Elements without an end tag.
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements whose end tag may be left out; they are never looked for among open elements.
-LOOSE_TAGS = frozenset("p li dt dd option optgroup tr td th thead tbody tfoot caption colgroup html head body".split())
 #: Elements whose content is no markup.
-RAW_TAGS = "script|style|textarea|title|xmp|iframe|noembed|noframes"
+RAW_TAGS = frozenset("script style textarea title xmp iframe noembed noframes".split())
+#: Elements that show no text of the page: controls, drawings, and what stands in for scripts and media.
+SILENT_TAGS = frozenset(
+    "audio button canvas datalist label noscript object optgroup option select svg template video".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Page furniture by tag.
 FURNITURE_TAGS = frozenset("nav footer aside form menu dialog search fieldset".split())
-#: Page furniture by a word of class, id or role.
+#: Measured as page furniture by a word of class, id or role.
 FURNITURE_WORDS = frozenset(
-    "ad ads advert advertisement adverts alert banner breadcrumb breadcrumbs comment comments consent contentinfo cookie"
-    " cookies copyright disclaimer disqus footer gdpr header login masthead menu menubar modal nav navbar navigation"
-    " newsletter notice pagination paywall popup promo promoted promotion related replies reply respond search share"
-    " sharing sidebar signup skip social sponsor sponsored subscribe teaser toolbar widget".split()
-)
-_TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW_TAGS})\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?/][^>]*>|<[a-zA-Z/!?][^<]*\Z",
-    re.S | re.I,
+    "ad ads advert advertisement adverts alert banner breadcrumb breadcrumbs cc comment comments consent contentinfo"
+    " cookie cookies copyright disclaimer disqus feedback footer gdpr header login masthead menu menubar modal nav navbar"
+    " navigation newsletter notice pagination paywall popup promo promoted promotion related replies reply respond search"
+    " share sharing sidebar signup skip social sponsor sponsored subscribe teaser toolbar widget".split()
 )
+#: Those of them that stand for what readers wrote.
+REMARKS = frozenset("comment comments disqus feedback replies reply respond".split())
+
+#: Start tags that end an open element of some kind (any in the first set), unless one of the second stands between.
+_ENDS = {
+    **dict.fromkeys(("li",), (("li",), ("ul", "ol", "menu", "dir"))),
+    **dict.fromkeys(("dt", "dd"), (("dt", "dd"), ("dl",))),
+    **dict.fromkeys(("td", "th"), (("td", "th"), ("table",))),
+    **dict.fromkeys(("tr",), (("tr",), ("table",))),
+    **dict.fromkeys(("thead", "tbody", "tfoot", "caption"), (("thead", "tbody", "tfoot", "caption"), ("table",))),
+    **dict.fromkeys(("option", "optgroup"), (("option",), ("select",))),
+    **dict.fromkeys(("button",), (("button",), ())),
+}
+_CELLS = ("td", "th", "caption")
+_TABLE = frozenset("table thead tbody tfoot tr td th caption".split())
+#: A tag whose attributes hold no < and whose quotes, if any, are closed.
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/><]*+)((?:[^<>=]++|=\s*+(?:\"[^\"<]*+\"|'[^'<]*+'|(?![\"'])))*+)>")
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+_STEP = re.compile(r"=\s*([\"'])|>")
+_RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in RAW_TAGS}
 _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 MEASURES = (
-    "words", "links", "words_before", "links_before", "words_after", "links_after", "furniture", "article", "heading",
+    "words", "links", "words_before", "links_before", "words_after", "links_after",
+    "furniture", "named", "article", "heading", "prose",
 )
 
 
@@ -62,145 +83,323 @@ class Block:
     text: str
     links: float
     furniture: bool
+    named: bool
     article: bool
     heading: bool
-
-
-def _is_furniture(tag: str, attributes: str, article: bool) -> bool:
-    if tag in FURNITURE_TAGS or tag == "header" and not article:
-        return True
-    if not attributes:
-        return False
-    for m in _NAMED.finditer(attributes):
-        named = {w.lower() for w in _WORDS.findall(m[1] or m[2] or m[3] or "")} & FURNITURE_WORDS
-        if named - {"header"} or named and not article:  # an article may have a header of its own
-            return tag not in ("html", "body")
-    return bool(_HIDDEN.search(attributes))
+    prose: bool
+
+
+@lru_cache(maxsize=1 << 14)
+def _names(attributes: str) -> frozenset[str]:
+    """The furniture words among those of class, id and role."""
+    found = {w.lower() for m in _NAMED.finditer(attributes) for w in _WORDS.findall(m[1] or m[2] or m[3] or "")}
+    return frozenset(found & FURNITURE_WORDS)
+
+
+class _Page:
+    """One scan of a page. Elements are numbered in order; lists hold what is known of each; 0 is the page itself."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.tag, self.parent, self.names = [""], [-1], [frozenset()]
+        self.silent, self.heading, self.article = [False], [False], [0]  # article: the nearest such element, 0 for none
+        self.open = [0]
+        self.where: dict[str, list[int]] = defaultdict(lambda: [-1])  # depths of open elements by tag, after a -1
+        self.depths: list[int] = []  # depths of open block-level elements
+        self.parts: list[str] = []
+        self.linked: list[str] = []
+        self.anchor = False
+        self.found: list[tuple[str, float, int]] = []  # text, links, element
+        self.holds_h1: set[int] = set()
+        self.first_h1 = 0
+        self.scan()
+        self.close()
+
+    def depth(self, tags: tuple[str, ...]) -> int:
+        """Of the innermost open element of these tags; -1 without any."""
+        out = -1
+        for t in tags:
+            if self.where[t][-1] > out:
+                out = self.where[t][-1]
+        return out
+
+    def pop_to(self, depth: int) -> None:
+        """Ends open elements from the innermost to the one at this depth."""
+        while len(self.open) > depth:
+            tag = self.tag[self.open.pop()]
+            self.where[tag].pop()
+            if tag in BLOCK_TAGS:
+                self.depths.pop()
+
+    def close(self) -> None:
+        """Ends a block."""
+        if not self.parts:
+            return
+        text = " ".join(html.unescape("".join(self.parts)).split())
+        if text:
+            inner = len(" ".join(html.unescape("".join(self.linked)).split())) if self.linked else 0
+            self.found.append((text, min(1.0, inner / len(text)), self.at))
+        self.parts, self.linked = [], []
+
+    def add(self, text: str) -> None:
+        here = self.open[-1]
+        if text and not self.silent[here]:
+            if not self.parts:
+                if text.isspace():
+                    return
+                self.at = here
+            self.parts.append(text)
+            if self.anchor:
+                self.linked.append(text)
+
+    def tag_end(self, at: int) -> int:
+        """Where a tag ends whose quotes hold < or don't close; -1 if never."""
+        while m := _STEP.search(self.page, at):
+            if not m[1]:
+                return m.end()
+            at = m.end()
+            if m[1] in self.unclosed:
+                continue
+            close = self.page.find(m[1], at)
+            if close < 0:
+                self.unclosed.add(m[1])  # nor is there one for any later tag
+            else:
+                at = close + 1
+        return -1
+
+    def scan(self) -> None:
+        page, at = self.page, 0
+        self.unclosed: set[str] = set()
+        endless: set[str] = set()
+        while (lt := page.find("<", at)) >= 0:
+            if lt > at:
+                self.add(page[at:lt])
+            m = _TAG.match(page, lt)
+            if m:
+                ends, tag, attributes, at = m[1], m[2].lower(), m[3], m.end()
+            elif page.startswith("<!--", lt):
+                end = page.find("-->", lt + 2)  # <!--> is whole
+                if end < 0:
+                    return
+                at = end + 3
+                continue
+            elif name := _NAME.match(page, lt):
+                end = self.tag_end(name.end())
+                if end < 0:
+                    return
+                ends, tag, attributes, at = name[1], name[2].lower(), page[name.end() : end - 1], end
+            elif page[lt + 1 : lt + 2] in ("!", "?", "/"):
+                end = page.find(">", lt)
+                if end < 0:
+                    return
+                at = end + 1
+                continue
+            else:
+                self.add("<")
+                at = lt + 1
+                continue
+            if ends:
+                self.end(tag)
+                continue
+            self.start(tag, attributes)
+            if tag in RAW_TAGS and tag not in endless:
+                stop = _RAW_END[tag].search(page, at)
+                if stop:
+                    at = stop.start()
+                elif tag in ("script", "style"):
+                    return
+                else:
+                    endless.add(tag)
+        self.add(page[at:])
+
+    def start(self, tag: str, attributes: str) -> None:
+        if tag == "br":
+            self.add(" ")
+            return
+        if tag in ("html", "body", "head"):
+            self.close()
+            return
+        block = tag in BLOCK_TAGS
+        if block:
+            self.close()
+            p = self.where["p"][-1]
+            if p >= 0 and p > self.depth(_CELLS):
+                self.pop_to(p)
+            if tag in HEADINGS and self.tag[self.open[-1]] in HEADINGS:
+                self.pop_to(len(self.open) - 1)
+        if tag in _ENDS:
+            mine, between = _ENDS[tag]
+            if self.depth(mine) > self.depth(between):
+                self.pop_to(self.depth(mine))
+        if tag == "a":
+            self.anchor = True
+        if tag in VOID_TAGS or tag in RAW_TAGS:
+            return
+        names = _names(attributes) if attributes else frozenset()
+        here = self.open[-1]
+        if names and not block:
+            self.close()
+        if not block and not names and not attributes and tag not in SILENT_TAGS:
+            kind = here  # plain inline elements say nothing about their text
+        else:
+            kind = len(self.tag)
+            self.parent.append(here)
+            self.tag.append(tag)
+            self.names.append(names)
+            self.silent.append(self.silent[here] or tag in SILENT_TAGS or bool(attributes and _HIDDEN.search(attributes)))
+            self.heading.append(self.heading[here] or tag in HEADINGS)
+            self.article.append(kind if tag in ("article", "main") else self.article[here])
+            self.where[tag].append(len(self.open))
+            if block:
+                self.depths.append(len(self.open))
+            self.open.append(kind)
+        if tag == "h1" and self.depth(("header", "nav", "aside", "footer")) < 0:
+            self.holds_h1.add(self.article[kind])
+            self.first_h1 = self.first_h1 or kind
+
+    def end(self, tag: str) -> None:
+        block = tag in BLOCK_TAGS
+        if block:
+            self.close()
+        if tag == "a":
+            self.anchor = False
+        depth = self.where[tag][-1]
+        if depth < 0:
+            return
+        if block or tag in SILENT_TAGS:
+            if tag in _TABLE or depth > self.depth(_CELLS):
+                if tag not in _ENDS or depth > self.depth(_ENDS[tag][1]):
+                    self.pop_to(depth)
+        elif not self.depths or depth > self.depths[-1]:
+            if self.names[self.open[depth]]:
+                self.close()
+            self.pop_to(depth)
+
+    def blocks(self) -> list[Block]:
+        n = len(self.tag)
+        words = [0] * n
+        total = 0
+        for text, _, at in self.found:
+            size = text.count(" ") + 1
+            words[at] += size
+            total += size
+        inner = words[:]
+        for k in range(n - 1, 0, -1):  # children come after parents
+            inner[self.parent[k]] += inner[k]
+        furniture = [t in FURNITURE_TAGS for t in self.tag]
+        named = [bool(s) for s in self.names]
+        for k in range(1, n):
+            in_article = bool(self.article[self.parent[k]])
+            if self.tag[k] == "header" and not in_article:
+                furniture[k] = True
+            if in_article and self.names[k] == {"header"}:
+                named[k] = False
+        self.exempt(furniture, named, inner, total)
+        for k in range(1, n):
+            up = self.parent[k]
+            furniture[k], named[k] = furniture[k] or furniture[up], named[k] or named[up]
+        prose = [False] * n
+        for k in range(1, n):
+            tag = self.tag[k]
+            prose[k] = tag in ("p", "blockquote", "pre") or tag not in BLOCK_TAGS and prose[self.parent[k]]
+        return [
+            Block(text, links, furniture[at], named[at], bool(self.article[at]), self.heading[at], prose[at])
+            for text, links, at in self.found
+        ]
+
+    def exempt(self, furniture: list[bool], named: list[bool], inner: list[int], total: int) -> None:
+        """What holds the page's main part isn't furniture, whatever it is called."""
+        outer = [False] * len(self.tag)
+        for k in range(1, len(outer)):
+            outer[k] = named[k] or furniture[k] or outer[self.parent[k]]
+        parts = [k for k, t in enumerate(self.tag) if t in ("article", "main")]
+        best = max(parts, key=lambda k: (k in self.holds_h1, not outer[k], inner[k]), default=0)
+        if best and not (best in self.holds_h1 or 2 * inner[best] >= total):
+            best = 0
+        top = best or (self.first_h1 if not parts else 0)
+        k = top
+        while k > 0:
+            furniture[k] = named[k] = False
+            k = self.parent[k]
+        # nor is what holds most of that, or of a page without such a part
+        whole = inner[best] if best else total if not top else 0
+        for k in range(1, len(outer)):
+            if whole and named[k] and 5 * inner[k] >= 3 * whole and not self.names[k] & REMARKS:
+                up = k
+                while up > 0 and up != best:
+                    up = self.parent[up]
+                if up == best:
+                    named[k] = False
 
 
 def blocks(page: str) -> list[Block]:
     """The text blocks of a page in order. White space in a block is one space; references are decoded."""
-    out: list[Block] = []
-    open_: list[tuple[str, bool, bool]] = []  # (tag, furniture, article) of the elements around, all inherited
-    furniture = article = loose = heading = False  # loose: within furniture whose end tag may be missing
-    anchors = 0
-    parts: list[str] = []
-    linked: list[str] = []
-
-    def close() -> None:
-        text = " ".join(html.unescape("".join(parts)).split())
-        if text:
-            inner = len(" ".join(html.unescape("".join(linked)).split()))
-            out.append(Block(text, min(1.0, inner / len(text)), furniture or loose, article, heading))
-        parts.clear()
-        linked.clear()
-
-    def add(text: str) -> None:
-        if text:
-            parts.append(text)
-            if anchors:
-                linked.append(text)
-
-    at = 0
-    for m in _TOKEN.finditer(page):
-        add(page[at : m.start()])
-        at = m.end()
-        if not m[3]:
-            if m[1] and m[1].lower() == "title":
-                close()
-            continue
-        tag, ends = m[3].lower(), bool(m[2])
-        if tag == "br":
-            add(" ")
-            continue
-        if tag == "a":
-            anchors = 0 if ends else 1
-        if tag in BLOCK_TAGS:
-            close()
-            loose = False
-            heading = not ends and tag in ("h1", "h2", "h3", "h4", "h5", "h6")
-        if tag in VOID_TAGS:
-            continue
-        if ends:
-            if tag not in LOOSE_TAGS:
-                for k in range(len(open_) - 1, -1, -1):
-                    if open_[k][0] == tag:
-                        now = open_[k - 1][1:] if k else (False, False)
-                        if now != (furniture, article):
-                            close()
-                        furniture, article = now
-                        del open_[k:]
-                        break
-            continue
-        mine = _is_furniture(tag, m[4], article)
-        if tag in LOOSE_TAGS:
-            loose = mine
-            continue
-        if mine and not furniture and tag not in BLOCK_TAGS:
-            close()
-        furniture, article = furniture or mine, article or tag in ("article", "main")
-        open_.append((tag, furniture, article))
-    add(page[at:])
-    close()
-    return out
+    return _Page(page).blocks()
 
 
 def measure(found: list[Block]) -> np.ndarray:
     """A row of MEASURES for each block; beyond the first and last block there are no words and no links."""
     words = np.array([0, *(b.text.count(" ") + 1 for b in found), 0], float)
     links = np.array([0, *(b.links for b in found), 0], float)
-    flags = np.array([(b.furniture, b.article, b.heading) for b in found], float).reshape(-1, 3)
+    flags = np.array([(b.furniture, b.named, b.article, b.heading, b.prose) for b in found], float).reshape(-1, 5)
     sides = [words[1:-1], links[1:-1], words[:-2], links[:-2], words[2:], links[2:]]
     return np.column_stack([*sides, flags])
 
 
-# Labelled blocks: MEASURES in order, then 1 for main text. Fixed values, made up for this table.
-LABELLED = (
-    # articles: headings, long and short paragraphs, paragraphs with links, first and last ones
-    (9, 0.0, 4, 0.0, 80, 0.0, 0, 1, 1, 1), (12, 0.0, 7, 1.0, 60, 0.1, 0, 1, 1, 1), (2, 0.0, 30, 0.0, 45, 0.0, 0, 1, 1, 1),
-    (80, 0.0, 9, 0.0, 65, 0.0, 0, 1, 0, 1), (60, 0.1, 12, 0.0, 1, 0.0, 0, 1, 0, 1), (1, 0.0, 60, 0.1, 40, 0.0, 0, 1, 0, 1),
-    (45, 0.0, 2, 0.0, 8, 0.3, 0, 1, 0, 1), (3, 0.0, 45, 0.0, 6, 0.2, 0, 1, 0, 1), (150, 0.05, 3, 0.0, 12, 0.0, 0, 1, 0, 1),
-    (6, 0.5, 70, 0.0, 90, 0.0, 0, 1, 0, 1), (5, 1.0, 80, 0.0, 75, 0.0, 0, 1, 0, 1), (30, 0.3, 5, 0.0, 3, 1.0, 0, 1, 0, 1),
-    (1, 0.0, 1, 0.0, 1, 0.0, 0, 1, 0, 1), (4, 0.0, 1, 0.0, 9, 0.1, 0, 1, 0, 1), (1, 1.0, 30, 0.0, 20, 0.0, 0, 1, 0, 1),
-    (5, 0.0, 40, 0.0, 0, 0.0, 0, 1, 0, 1), (50, 0.0, 70, 0.0, 0, 0.0, 0, 1, 0, 1), (2, 0.0, 30, 0.0, 3, 1.0, 0, 1, 0, 1),
-    (4, 0.0, 5, 0.0, 2, 1.0, 0, 1, 0, 1), (3, 1.0, 9, 0.0, 1, 1.0, 0, 1, 0, 1), (12, 0.6, 9, 0.0, 7, 0.8, 0, 1, 0, 1),
-    (8, 0.0, 0, 0.0, 0, 0.0, 0, 1, 1, 1), (30, 0.9, 40, 0.0, 9, 1.0, 0, 1, 0, 1), (6, 0.0, 0, 0.0, 70, 0.0, 0, 1, 1, 1),
-    # pages without an article element: long text, headings before it, short lines within it
-    (70, 0.0, 8, 0.0, 55, 0.0, 0, 0, 0, 1), (55, 0.05, 70, 0.0, 90, 0.0, 0, 0, 0, 1), (90, 0.1, 55, 0.0, 4, 1.0, 0, 0, 0, 1),
-    (8, 0.0, 3, 1.0, 70, 0.0, 0, 0, 1, 1), (6, 0.0, 90, 0.0, 60, 0.0, 0, 0, 1, 1), (4, 0.0, 60, 0.0, 70, 0.0, 0, 0, 0, 1),
-    (9, 0.1, 50, 0.0, 80, 0.1, 0, 0, 0, 1), (25, 0.0, 40, 0.0, 5, 1.0, 0, 0, 0, 1), (40, 0.0, 1, 1.0, 25, 0.0, 0, 0, 0, 1),
-    (1, 0.0, 1, 1.0, 60, 0.0, 0, 0, 1, 1), (2, 0.0, 0, 0.0, 80, 0.1, 0, 0, 1, 1), (3, 0.0, 60, 0.0, 50, 0.0, 0, 0, 0, 1),
-    (2, 0.0, 50, 0.0, 30, 0.1, 0, 0, 0, 1), (1, 0.0, 40, 0.0, 45, 0.0, 0, 0, 0, 1), (3, 0.0, 9, 0.0, 60, 0.0, 0, 0, 1, 1),
-    # the same without furniture around: link lists, lone short lines, headings over lists
-    (1, 1.0, 1, 1.0, 1, 1.0, 0, 0, 0, 0), (2, 1.0, 0, 0.0, 1, 1.0, 0, 0, 0, 0), (3, 1.0, 90, 0.1, 2, 1.0, 0, 0, 0, 0),
-    (6, 0.9, 2, 1.0, 4, 1.0, 0, 0, 0, 0), (4, 0.8, 25, 0.0, 0, 0.0, 0, 0, 0, 0), (12, 0.7, 5, 1.0, 7, 0.8, 0, 0, 0, 0),
-    (30, 0.8, 40, 0.0, 9, 1.0, 0, 0, 0, 0), (45, 0.9, 3, 1.0, 2, 1.0, 0, 0, 0, 0), (2, 0.0, 4, 1.0, 3, 1.0, 0, 0, 0, 0),
-    (3, 0.0, 6, 0.9, 5, 1.0, 0, 0, 1, 0), (5, 0.4, 3, 1.0, 2, 1.0, 0, 0, 0, 0),
-    # furniture: menus, adverts, footers, notices, comments, forms, in and out of articles
-    (1, 1.0, 0, 0.0, 1, 1.0, 1, 0, 0, 0), (1, 1.0, 1, 1.0, 12, 0.0, 1, 0, 0, 0), (12, 0.0, 1, 1.0, 9, 0.0, 1, 0, 0, 0),
-    (15, 0.0, 70, 0.0, 0, 0.0, 1, 0, 0, 0), (80, 0.0, 60, 0.0, 50, 0.0, 1, 0, 0, 0), (60, 0.1, 80, 0.0, 3, 1.0, 1, 1, 0, 0),
-    (7, 0.0, 40, 0.0, 60, 0.0, 1, 1, 0, 0), (5, 0.0, 60, 0.0, 12, 0.0, 1, 1, 1, 0), (25, 0.2, 5, 0.0, 30, 0.0, 1, 0, 0, 0),
-    (120, 0.0, 8, 0.0, 70, 0.0, 1, 0, 0, 0), (3, 0.0, 2, 1.0, 45, 0.0, 1, 0, 1, 0), (40, 0.0, 45, 0.0, 0, 0.0, 1, 1, 0, 0),
+# Labelled pages, written and labelled by hand. +n stands for n words of main text, -n for n words of anything else.
+PAGES = (
+    # news: menu, advert, article, related links, footer
+    "<header><a href=/>-2</a></header><nav><ul><li><a href=/>-1</a><li><a href=/>-2</a><li><a href=/>-1</a></ul></nav><div class=ad>-8</div>"
+    "<article><h1>+9</h1><p>+60<p>+1<p>+85<p>+3<p>+40</article><aside><h2>-2</h2><p>-25<a href=/>-6</a></aside><footer>-12</footer>",
+    "<nav><a href=/>-4</a></nav><article><header><h1>+12</h1><p>+6</p></header><p>+1<p>+2<p>+1<p>+150<h2>+3</h2><p>+2</article>"
+    "<div class=related-articles><a href=/>-9</a><a href=/>-8</a></div><footer><p>-30</p></footer>",
+    "<div id=top-banner>-14</div><main><h1>+1</h1><p>+5<ul><li>+4<li>+9<li>+2</ul><p>+33<table><tr><td>+1<td>+2<tr><td>+1<td>+3</table></main>"
+    "<div class=footer><p>-9<p>-45</div>",
+    # an article with furniture of its own
+    "<article><h1>+6</h1><div class=share><a href=/>-1</a> <a href=/>-1</a></div><p>+70<div class=newsletter-signup><p>-18</p></div><p>+2"
+    "<figure><figcaption>+9</figcaption></figure><aside>-35</aside><p>+44<blockquote>+12</blockquote><form>-3</form><div class=promo>-1</div>"
+    "<p><a href=/>+1</a><p>+25<section class=comments><h3>-2</h3><p>-40<p>-3<p>-75</section></article>",
+    "<main><div class=breadcrumbs><a href=/>-1</a><a href=/>-1</a></div><article><h1>+8</h1><p>+2<p><a href=/>+3</a> +1<p>+1<pre>+14</pre>"
+    "<nav><a href=/>-2</a></nav><p>+90<div class=advert>-50</div><p>+7</article><div id=comments><article><p>-30</article><article><p>-2</article></div></main>",
+    "<article class=post><h1>+5</h1><p>+22<p>+18<div class=sponsored><p>-60</p></div><p>+1<dl><dt>+1<dd>+6</dl><p>+3</article><div class=social><a href=/>-1</a></div>",
+    # blogs and forums without an article element
+    "<div class=masthead><p>-3</div><ul class=menu><li><a href=/>-1</a><li><a href=/>-1</a></ul><div id=content><h1>+7</h1><p>+55<p>+4<p>+80"
+    "<p>+2<p>+31</div><div id=sidebar><h2>-2</h2><p>-20<ul><li><a href=/>-5</a></ul></div><ol class=comment-list><li><p>-12<li><p>-66</ol><div class=copyright>-6</div>",
+    "<div><a href=/>-1</a> <a href=/>-1</a></div><h1>+4</h1><div>+65</div><div>+5</div><h2>+3</h2><div>+90</div><div><a href=/>-2</a></div><div class=footer>-1</div>",
+    "<h1>+10</h1><p>+4<p>+6<p>+3<p>+5<p>+1<p>+4<div class=footer>-8</div>",
+    "<table><tr><td><a href=/>-1</a><td><a href=/>-2</a></table><h2>+6</h2><p>+3<p>+8<p>+2<p>+5<h3>+2</h3><p>+7<div class=disclaimer><p>-25</div>",
+    "<p>+2<p>+6<p>+4<p>+9<p>+3",
+    "<h1>+3</h1><p>+1<p>+1<p>+2<p>+1",
+    "<table><tr><td><a href=/>-2</a><br><a href=/>-1</a><td><b>+5</b><p>+48<p>+20<p>+61</table><div class=nav><a href=/>-1</a></div>",
+    "<ul><li><a href=/>-1</a><li><a href=/>-3</a><li><a href=/>-2</a></ul><div>+30</div><div>+3</div><div>+52</div><ul><li><a href=/>-4</a><li><a href=/>-2</a></ul>",
+    # notices, logins, long furniture before and after
+    "<div class=cookie-banner><p>-70<a href=/>-2</a></div><div class=cc-window>-44</div><article><h1>+6</h1><p>+38<p>+4</article><div class=user-feedback><p>-55<p>-3</div>",
+    "<form>-2</form><div class=paywall><h2>-4</h2><p>-28</div><main><p>+18<p>+90<p>+2</main><footer><ul><li><a href=/>-2</a><li>-7</ul></footer>",
+    "<header><h1>-2</h1><p>-9</header><div class=modal-login><p>-15</div><h2>+5</h2><p>+77<p>+30<p>+6<footer>-80</footer>",
+    # pages of links
+    "<div><a href=/>-6</a></div><div><a href=/>-4</a></div><div><a href=/>-7</a></div><div>-2</div><div><a href=/>-5</a></div>",
+    "<h3>-2</h3><ul><li><a href=/>-3</a><li><a href=/>-4</a><li><a href=/>-2</a></ul><h3>-1</h3><ul><li><a href=/>-12</a><li><a href=/>-30</a></ul>",
+    # lists and links within text
+    "<article><h1>+4</h1><ul><li><a href=/>+3</a><li><a href=/>+2</a></ul><p>+1<ol><li>+20<li><a href=/>+12</a></ol><p><a href=/>+30</a></article><ul><li><a href=/>-2</a></ul>",
+    "<nav><a href=/>-2</a></nav><article><h1>+1</h1><p>+4<p>+2</article><ul><li><a href=/>-2</a></ul>",
+    "<article><p>+2<ul><li><a href=/>+8</a><li>+3<li><a href=/>+2</a></ul><p>+1<ul><li><a href=/>+5</a></ul></article>",
+    "<main><h2>+2</h2><p><a href=/>+4</a><p>+3<p><a href=/>+1</a><h2>+1</h2><p><a href=/>+14</a></main><nav><a href=/>-14</a></nav>",
+    "<article><p><a href=/>+2</a><h3>+3</h3><p><a href=/>+6</a> +1<p>+1<p><a href=/>+3</a></article><aside><p>-2<p>-60</aside>",
+    "<div class=toolbar><p>-3</div><article><p>+1<p><a href=/>+1</a><p>+2<nav><p>-2<p>-9</nav><p>+1</article><form><p>-1<p>-4</form>",
+    "<div><a href=/>-3</a></div><h1>+2</h1><p>+9<p>+40<div>-2</div><div><a href=/>-1</a></div><div><a href=/>-2</a></div>",
+    "<h1>+5</h1><p>+44<p>+2 <a href=/>+10</a> +9<p>+36<div><a href=/>-1</a> <a href=/>-1</a> -1</div><p>+50",
 )
 
 
-# Where a block's place decides, whatever it and its neighbours are like: within an article, within furniture.
-_SIDES = ((0, 0.0), (3, 1.0), (60, 0.1))
-PLACED = tuple(
-    (words, links, *before, *after, furniture, article, 0, int(not furniture))
-    for words, links in ((1, 0.0), (5, 0.5), (2, 1.0), (40, 0.1))
-    for before in _SIDES
-    for after in _SIDES
-    for furniture, article in ((0, 1), (1, 0), (1, 1))
-)
-# Without either: long text is main text, links aren't, and a short line is what its neighbours are.
-_TEXT = _SIDES[2]
-UNPLACED = tuple(
-    (words, links, *before, *after, 0, 0, 0, int(words > 20 or links < 0.5 and _TEXT in (before, after)))
-    for words, links in ((1, 0.0), (5, 0.1), (2, 1.0), (8, 0.9), (25, 0.1), (60, 0.0))
-    for before in _SIDES
-    for after in _SIDES
-)
+def labelled(pages: tuple[str, ...] = PAGES) -> tuple[np.ndarray, np.ndarray]:
+    """Measures and labels (1: main text) of the blocks of labelled pages."""
+    rows, labels = [], []
+    for page in pages:
+        spelled = re.sub(r"(?<=[> ])([+-])(\d+)", lambda m: " ".join(["main" if m[1] == "+" else "rest"] * int(m[2])), page)
+        found = blocks(spelled)
+        rows.append(measure(found))
+        labels += [int(b.text.startswith("main")) for b in found]
+    return np.concatenate(rows), np.array(labels)
 
 
 @dataclass(frozen=True)
@@ -245,8 +444,7 @@ def grow(rows: np.ndarray, labels: np.ndarray, depth: int = 8, least: int = 1) -
 
 @lru_cache(maxsize=1)
 def default_tree() -> Node:
-    table = np.array(LABELLED + PLACED + UNPLACED, float)
-    return grow(table[:, :-1], table[:, -1].astype(int))
+    return grow(*labelled())
 
 
 def main_text(page: str | None, tree: Node | None = None) -> str:
@@ -259,8 +457,8 @@ def main_text(page: str | None, tree: Node | None = None) -> str:
 
 def extract(pages: DataFrame, html_col: str = "html", tree: Node | None = None) -> tuple[DataFrame, list[str]]:
     """Every row of pages with text and n_chars, its code points (underscores before names that pages has), and the two
-    names. Null, empty and text-less pages have an empty text; repeated rows are read alike; whole pages are read; an
-    empty table stays empty."""
+    names. Null, empty and text-less pages have an empty text; repeated rows are read alike; whole pages of any length
+    are read, in time that grows with their length alone; an empty table stays empty."""
     names = fresh(pages, "text", "n_chars")
     tree = tree or default_tree()
 
@@ -279,3 +477,22 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     """One row per row of pages: id, url, text, n_chars (see extract)."""
     out, (text, n) = extract(pages.select(id_col, url_col, html_col), html_col)
     return out.select(id_col, url_col, F.col(text).alias("text"), F.col(n).alias("n_chars"))
+
+
+#: The same for pages whose main text is all in one plain article of headings and paragraphs, as in the table at hand.
+#: A reference is decoded once, so the ampersand comes last.
+_REFERENCES = (("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&#39;", "''"), ("&amp;", "&"))
+
+
+def _decoded(c: str) -> str:
+    for a, b in _REFERENCES:
+        c = f"replace({c}, '{a}', '{b}')"
+    return c
+
+
+SQL = rf"""
+WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(</article>|$)', 1) AS inner_html FROM pages),
+l AS (SELECT page_id, url, string_split(regexp_replace(regexp_replace(regexp_replace(inner_html, '<br>', ' ', 'g'), '</?(p|h1)>', chr(0), 'g'), '<[^>]*(>|$)', '', 'g'), chr(0)) AS parts FROM a),
+t AS (SELECT page_id, url, list_filter(list_transform(parts, lambda x: trim(regexp_replace({_decoded("x")}, '\s+', ' ', 'g'))), lambda x: x <> '') AS lines FROM l)
+SELECT page_id, url, array_to_string(lines, chr(10)) AS text, CAST(length(array_to_string(lines, chr(10))) AS BIGINT) AS n_chars FROM t
+"""

@@ -83,5 +83,6 @@ SQL: dict[str, str] = {
     "op2_url_filters": urls.SQL,
     "op3_warc_fixity": warc.SQL,
     "op5_chat_formatting": chat.SQL,
+    "op7_html_extraction": html_text.SQL,
     "op10_decontamination": OP10_SQL,
 }

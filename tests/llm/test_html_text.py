@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import html
 import re
+import time
 
 import duckdb
 import numpy as np
@@ -33,15 +34,69 @@ def test_pages_without_an_article():
     assert h.main_text(page) == f"Title\n{text}\nand a closing line"
 
 
-def test_tree_fits_its_table_and_held_out_rows():
-    table = np.array(h.LABELLED + h.PLACED + h.UNPLACED, float)
-    x, y = table[:, :-1], table[:, -1].astype(int)
-    assert (h.default_tree().labels(x) == y).mean() > 0.95
-    out = np.zeros(len(y), int)
-    for k in range(5):
-        mine = np.arange(len(y)) % 5 == k
-        out[mine] = h.grow(x[~mine], y[~mine]).labels(x[mine])
-    assert (out == y).mean() > 0.85
+def test_tree_fits_its_pages_and_held_out_ones():
+    x, y = h.labelled()
+    assert (h.default_tree().labels(x) == y).all()
+    right = []
+    for k in range(len(h.PAGES)):
+        tree = h.grow(*h.labelled(h.PAGES[:k] + h.PAGES[k + 1 :]))
+        rows, labels = h.labelled(h.PAGES[k : k + 1])
+        right += list(tree.labels(rows) == labels)
+    assert np.mean(right) > 0.95
+
+
+LONG = " ".join(["long"] * 40)
+
+
+def test_no_article_is_lost_by_a_name():
+    inner = f"<h1>Title</h1><p>{LONG}</p><p>short</p>"
+    for name in ("post comments-open", "share", "search-results", "related", "header", "social", "sidebar-left"):
+        for page in (
+            f'<nav><a href=/>Home</a></nav><article class="{name}">{inner}</article><footer>x</footer>',
+            f'<div class="{name}"><article>{inner}</article></div><div class=ad>Buy</div>',
+            f'<body class="{name}"><div id="{name}-wrapper"><main>{inner}</main></div>',
+            f'<div id="{name}">{inner}</div>',
+            f'<form id={name}><article><div class="{name}-body">{inner}</div></article></form>' if "comment" not in name else f"<main>{inner}",
+        ):
+            assert h.main_text(page) == f"Title\n{LONG}\nshort", page
+
+
+def test_no_controls_notices_or_comments():
+    extra = (
+        "<noscript>Enable scripts</noscript>", "<button>Copy</button>", "<label>Mail</label>", "<select><option>One<option>Two</select>",
+        "<svg><title>Icon</title><text>Drawn</text></svg>", "<template><p>Later</p></template>", f"<div class=cc-window>We track you {LONG}</div>",
+        f"<section class=user-feedback><p>{LONG}</p><p>Me too</p></section>", "<p hidden>unseen</p>", "<div style='display: none'>unseen</div>",
+        f"<ol class=comment-list><li><p>First</p><p>{LONG}</p></ol>", "<aside><p>Aside</p></aside>", "<textarea>typed</textarea>", "<iframe>frame</iframe>",
+    )
+    for more in extra:
+        assert h.main_text(f"<article><h1>T</h1><p>{LONG} a</p>{more}<p>b {LONG}</p></article>") == f"T\n{LONG} a\nb {LONG}", more
+    assert h.main_text(f"<article><p>{LONG} <button>Copy</button>on</p></article>") == f"{LONG} on"
+
+
+def test_short_lines_of_pages_without_an_article():
+    page = "<div><a href=/>Home</a> <a href=/a>About</a></div><h1>Small title</h1><p>One line of text.<p>Two.<p>The end.<div class=footer>Imprint</div>"
+    assert h.main_text(page) == "Small title\nOne line of text.\nTwo.\nThe end."
+
+
+def test_quotes_references_and_implied_ends():
+    assert h.main_text("<article><p title='a > b' don't>x<p class=\"y>z\">y &lt;p&gt; &amp;amp; &nbsp; z</article>") == "x\ny <p> &amp; z"
+    assert h.main_text("<article><ul><li>a<li class=ad>b<p>c</p><li>d</ul><table><tr><td>e<td></div>f</table>g</article>") == "a\nd\ne\nf\ng"
+    assert h.main_text("<article><p>a <!-- <p>no --> b <!--> c<script>if(a<b)'</p>'</script> d</p><p title='open>e</p></article>") == "a b c d\ne"
+
+
+def test_bad_pages_take_time_by_their_length():
+    for piece, n in (("<a ", 350_000), ('<p class="', 100_000), ("<div>", 100_000), ("<!--", 250_000), ("<title>", 140_000), ("<", 500_000), ("<b x>", 200_000)):
+        for rest in ("", "</span>" * 50_000, "</div>" * 50_000):
+            began = time.perf_counter()
+            h.main_text(piece * n + rest)
+            assert time.perf_counter() - began < 8, piece
+
+
+def test_sql_gives_the_same(spark, data):
+    pages = duckdb.read_parquet(f"{data}/pages.parquet")  # noqa: F841
+    want = {r[0]: r[2:] for r in duckdb.sql(h.SQL).fetchall()}
+    got = h.main_texts(spark.read.parquet(f"{data}/pages.parquet")).collect()
+    assert {r.page_id: (r.text, r.n_chars) for r in got} == want
 
 
 def test_all_test_pages_give_their_article(spark, data):
