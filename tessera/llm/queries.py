@@ -49,6 +49,11 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def quality_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op9 that SQL can express."""
+    return quality.base_counts(table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -78,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mixing": op8_source_mixing,
     "op9_quality_rules": op9_quality_rules,
     "op10_decontamination": op10_decontamination,
+    "quality_base_counts": quality_base_counts,
 }
 SQL: dict[str, str] = {
     "op2_url_filters": urls.SQL,
@@ -85,4 +91,5 @@ SQL: dict[str, str] = {
     "op5_chat_formatting": chat.SQL,
     "op7_html_extraction": html_text.SQL,
     "op10_decontamination": OP10_SQL,
+    "quality_base_counts": quality.SQL,
 }
