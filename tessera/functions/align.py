@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+import math
 from collections.abc import Callable
 
 import numpy as np
@@ -62,24 +63,38 @@ def align(words: list[tuple[str, list[str]]], hyp: list[str]) -> list[tuple[str,
     ref = [t for _, tokens in words for t in tokens]
     owner = [k for k, (_, tokens) in enumerate(words) for _ in tokens]
     n, m = len(ref), len(hyp)
-    cost = np.zeros((n + 1, m + 1), np.int32)
-    steps = np.arange(m + 1)
-    cost[0] = steps
+    steps = np.arange(m + 1, dtype=np.int32)
     codes: dict[str, int] = {}
     other = np.array([codes.setdefault(t, len(codes)) for t in hyp], np.int64)
-    for i, t in enumerate(ref, 1):
-        row = cost[i]
-        row[0] = i
-        differs = other != codes.get(t, -1)
-        row[1:] = np.minimum(cost[i - 1, 1:] + 1, cost[i - 1, :-1] + differs)
-        cost[i] = np.minimum.accumulate(row - steps) + steps
+
+    def rows(first: np.ndarray, start: int, end: int) -> np.ndarray:
+        """Costs of prefixes start to end of the reference, given those of the first."""
+        out = np.empty((end - start + 1, m + 1), np.int32)
+        out[0] = first
+        for k in range(1, len(out)):
+            differs = other != codes.get(ref[start + k - 1], -1)
+            out[k, 0] = start + k
+            out[k, 1:] = np.minimum(out[k - 1, 1:] + 1, out[k - 1, :-1] + differs)
+            out[k] = np.minimum.accumulate(out[k] - steps) + steps
+        return out
+
+    # Every size-th row is kept and the others are computed again on the way back: the root of the memory, twice the time.
+    size = max(64, math.isqrt(n))
+    kept = [steps]
+    for start in range(0, n, size):
+        kept.append(rows(kept[-1], start, min(n, start + size))[-1])
     edits = [0] * len(words)
     i, j = n, m
+    low, cost = n, None
     while i or j:
-        if i and j and cost[i, j] == cost[i - 1, j - 1] + (ref[i - 1] != hyp[j - 1]):
+        if i and (cost is None or i <= low):
+            low = (i - 1) // size * size
+            cost = rows(kept[low // size], low, min(n, low + size))
+        at = i - low
+        if i and j and cost[at, j] == cost[at - 1, j - 1] + (ref[i - 1] != hyp[j - 1]):
             edits[owner[i - 1]] += ref[i - 1] != hyp[j - 1]
             i, j = i - 1, j - 1
-        elif i and cost[i, j] == cost[i - 1, j] + 1:
+        elif i and cost[at, j] == cost[at - 1, j] + 1:
             edits[owner[i - 1]] += 1
             i -= 1
         else:
@@ -90,7 +105,9 @@ def align(words: list[tuple[str, list[str]]], hyp: list[str]) -> list[tuple[str,
 
 
 def _aligned(words: pd.Series, hyp: pd.Series) -> pd.Series:
-    def one(pairs, said: str):
+    def one(pairs, said: str | None):
+        if pairs is None or said is None:
+            return None
         made = align([(p["word"], p["phonemes"].split()) for p in pairs], said.split())
         return [dict(zip(("word", "edits", "n_tokens", "per"), row, strict=True)) for row in made]
 
@@ -98,18 +115,21 @@ def _aligned(words: pd.Series, hyp: pd.Series) -> pd.Series:
 
 
 def align_words(words: Column, hyp: Column) -> Column:
-    """Words as {word, phonemes} and a recognized string of tokens, aligned (see align)."""
+    """Words as {word, phonemes} and a recognized string of tokens, aligned (see align); null if either is."""
     return F.pandas_udf(_aligned, _WORDS)(words, hyp)
 
 
 def _diffs(expected: pd.Series, said: pd.Series) -> pd.Series:
-    def one(a: list[str], b: list[str]):
+    def one(a, b):
+        if a is None or b is None:
+            return None
+        a, b = list(a), list(b)
         steps = difflib.SequenceMatcher(a=a, b=b, autojunk=False).get_opcodes()
         return [{"tag": t, "a": " ".join(a[i:j]), "b": " ".join(b[k:n])} for t, i, j, k, n in steps]
 
-    return pd.Series([one(list(a), list(b)) for a, b in zip(expected, said, strict=True)])
+    return pd.Series([one(a, b) for a, b in zip(expected, said, strict=True)])
 
 
 def word_diff(expected: Column, said: Column) -> Column:
-    """Steps (equal, delete, insert, replace) that turn one array of tokens into another."""
+    """Steps (equal, delete, insert, replace) that turn one array of tokens into another; null if either is."""
     return F.pandas_udf(_diffs, "array<struct<tag: string, a: string, b: string>>")(expected, said)

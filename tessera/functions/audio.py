@@ -50,10 +50,10 @@ def peak_normalize(samples: Column, level: float = 0.99) -> Column:
 
 def low_band(x: np.ndarray, rate: int) -> float:
     """The share of spectral magnitude between 80 and 300 Hz in the first 2,048 samples, under a Hann window."""
-    head = np.asarray(x, np.float32)[:LOW_BAND_SAMPLES]
+    head = np.asarray(x, np.float64)[:LOW_BAND_SAMPLES]
     if len(head) < 2:
         return 0.0
-    size = np.abs(np.fft.rfft(head * np.hanning(len(head)).astype(np.float32)))
+    size = np.abs(np.fft.rfft(head * np.hanning(len(head))))
     hertz = np.fft.rfftfreq(len(head), 1 / rate)
     total = float(size.sum())
     return float(size[(hertz >= LOW_BAND[0]) & (hertz <= LOW_BAND[1])].sum()) / total if total > 0 else 0.0
@@ -116,8 +116,11 @@ def trim_silence(x: np.ndarray, rate: int, top_db: float = 60.0, margin_ms: floa
 
 
 def trim_interval(samples: Column, top_db: float = 60.0) -> Column:
+    """{start, end} of the loud part (see loud_part); both null for a null array."""
+
     def interval(rows: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([loud_part(np.asarray(x), top_db) for x in rows], columns=["start", "end"])
+        found = [(None, None) if x is None else loud_part(np.asarray(x), top_db) for x in rows]
+        return pd.DataFrame(found, columns=["start", "end"], dtype="Int32")
 
     interval.__annotations__ = {"rows": pd.Series, "return": pd.DataFrame}
     return F.pandas_udf(interval, "struct<start: int, end: int>")(samples)
@@ -138,6 +141,7 @@ def _biquad(x: np.ndarray, b: tuple, a: tuple) -> np.ndarray:
 def loudness(x: np.ndarray, rate: int) -> float:
     """Integrated loudness in LUFS by ITU-R BS.1770: K-weighting, blocks of 400 ms by 100 ms, both gates; mono."""
 
+    # The coefficients of the standard's two filters.
     def shelf() -> tuple[tuple, tuple]:
         gain, q, fc = 3.999843853973347, 0.7071752369554196, 1681.974450955533
         k, vh = np.tan(np.pi * fc / rate), 10 ** (gain / 20)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
-from functools import reduce
+from functools import lru_cache, reduce
 
 import pandas as pd
 from pyspark.sql import Column
@@ -42,10 +42,13 @@ LANGUAGE_NAMES = {
 }
 # Two-letter codes that speech models know.
 LANGUAGE_CODES = (
-    "af am ar as az ba be bg bn bo br bs ca cs cy da de el en es et eu fa fi fo fr gl gu ha he hi hr ht hu hy id is it ja"
-    " jw ka kk km kn ko la lb ln lo lt lv mg mi mk ml mn mr ms mt my ne nl nn no oc pa pl ps pt ro ru sa sd si sk sl sn so"
-    " sq sr su sv sw ta te tg th tk tl tr tt uk ur uz vi yi yo zh"
-).split()
+    "af", "am", "ar", "as", "az", "ba", "be", "bg", "bn", "bo", "br", "bs", "ca", "cs", "cy", "da", "de", "el", "en",
+    "es", "et", "eu", "fa", "fi", "fo", "fr", "gl", "gu", "ha", "he", "hi", "hr", "ht", "hu", "hy", "id", "is", "it",
+    "ja", "jw", "ka", "kk", "km", "kn", "ko", "la", "lb", "ln", "lo", "lt", "lv", "mg", "mi", "mk", "ml", "mn", "mr",
+    "ms", "mt", "my", "ne", "nl", "nn", "no", "oc", "pa", "pl", "ps", "pt", "ro", "ru", "sa", "sd", "si", "sk", "sl",
+    "sn", "so", "sq", "sr", "su", "sv", "sw", "ta", "te", "tg", "th", "tk", "tl", "tr", "tt", "uk", "ur", "uz", "vi",
+    "yi", "yo", "zh",
+)
 # Names of automatic detection, which is refused.
 AUTOMATIC = ("auto", "autodetect", "auto-detect", "auto detect")
 
@@ -69,15 +72,35 @@ def normalize_basic(c: Column) -> Column:
     return collapse(F.regexp_replace(F.lower(F.translate(c, *_QUOTES)), f"[^{_WORD}\\s]", " "))
 
 
+@lru_cache(maxsize=1)
+def _folds() -> tuple[str, str, str]:
+    """Characters whose compatibility decomposition holds one ASCII character, those characters, and the characters whose
+    decomposition holds several."""
+    one, to, several = [], [], []
+    for c in map(chr, (*range(0x80, 0xD800), *range(0xE000, 0x110000))):
+        plain = unicodedata.normalize("NFKD", c).encode("ascii", "ignore").decode() if unicodedata.decomposition(c) else ""
+        if len(plain) == 1:
+            one.append(c)
+            to.append(plain)
+        elif plain:
+            several.append(c)
+    return "".join(one), "".join(to), "".join(several)
+
+
 def _fold(texts: pd.Series) -> pd.Series:
-    return texts.map(
-        lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode()
-    )
+    return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode())
 
 
 def fold_ascii(c: Column) -> Column:
-    """Compatibility decomposition without what isn't ASCII. Spark has no such function."""
-    return F.pandas_udf(_fold, "string")(c)
+    """Compatibility decomposition without what isn't ASCII. Spark has no such function.
+
+    Decomposition goes character by character, so a table does it; only texts with a character that becomes several (a
+    ligature, a fraction) go to Python, for others that column is null.
+    """
+    one, to, several = _folds()
+    rare = c.rlike("[" + "".join(f"\\x{{{ord(x):x}}}" for x in several) + "]")
+    slow = F.pandas_udf(_fold, "string")(F.when(rare, c))
+    return F.coalesce(slow, F.regexp_replace(F.translate(c, one, to), r"[^\x00-\x7F]+", ""))
 
 
 def _join_digits(c: Column) -> Column:
@@ -144,6 +167,7 @@ def flat_phonemes(zipped: Column) -> Column:
 
 def parse_reason(reason: Column) -> Column:
     """{metric, value, threshold} of 'wer=0.4 > 0.2'; ('wer', 0, 0) for anything else."""
+    # Fixed value: the format of reasons.
     shape = r"^(wer|per)=([0-9.]+)\s*>\s*([0-9.]+)$"
     value, limit = (F.regexp_extract(reason, shape, k).try_cast("double") for k in (2, 3))
     fits = value.isNotNull() & limit.isNotNull()
@@ -178,6 +202,25 @@ def hhmmss(seconds: Column) -> Column:
     )
 
 
+def seconds_label(seconds: Column) -> Column:
+    """A duration as it is shown beside a clip: two places and s; empty where it is unknown."""
+    return F.when(seconds.isNotNull(), F.format_string("%.2fs", seconds)).otherwise("")
+
+
+def local_time(at: Column) -> Column:
+    return F.date_format(at, "yyyy-MM-dd HH:mm:ss")
+
+
+def utc_now() -> Column:
+    """The time of the query in UTC, to seconds."""
+    return F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+
+
+def same_name(a: Column, b: Column) -> Column:
+    """Whether two names agree whatever their case."""
+    return F.lower(a) == F.lower(b)
+
+
 def index_of(path: Column) -> Column:
     """The number that a clip's file name stands for; null if it is none."""
     return F.regexp_extract(path, r"([^/]+)\.[^./]+$", 1).try_cast("int")

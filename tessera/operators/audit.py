@@ -22,20 +22,21 @@ def audit_rows(features: DataFrame, scores: DataFrame, texts: DataFrame, key: st
     )
 
 
-def ranked(rows: DataFrame, signals: list[str]) -> DataFrame:
-    """rows with rank_<signal>, its percent rank over all rows: the share of the others with a smaller value."""
-    return reduce(lambda df, s: percent_ranked(df, s, f"rank_{s}"), signals, rows)
+def ranked(rows: DataFrame, signals: list[str], key: str = "idx") -> DataFrame:
+    """rows with rank_<signal>, its percent rank over all rows: the share of the others with a smaller value. Keys are
+    unique."""
+    return percent_ranked(rows, {s: f"rank_{s}" for s in signals}, key)
 
 
-def scored(rows: DataFrame, weights: dict[str, float], name: str = "suspect_score") -> DataFrame:
+def scored(rows: DataFrame, weights: dict[str, float], name: str = "suspect_score", key: str = "idx") -> DataFrame:
     total = reduce(lambda a, b: a + b, (F.lit(w) * F.col(f"rank_{s}") for s, w in weights.items()))
-    return ranked(rows, list(weights)).withColumn(name, total).drop(*(f"rank_{s}" for s in weights))
+    return ranked(rows, list(weights), key).withColumn(name, total).drop(*(f"rank_{s}" for s in weights))
 
 
 def queue(rows: DataFrame, by: str = "composite", n: int | None = 500, key: str = "idx") -> DataFrame:
     """Rows with their sort value, most suspect first, ties by key; n is the length of the report (None: all)."""
     if by in ("composite", "audio"):
-        out = scored(rows, COMPOSITE if by == "composite" else AUDIO, "sort_value")
+        out = scored(rows, COMPOSITE if by == "composite" else AUDIO, "sort_value", key)
     else:
         out = rows.withColumn("sort_value", F.col({"per": "per", "pitch": "per_pitch"}[by]))
     out = out.orderBy(F.desc("sort_value"), key)

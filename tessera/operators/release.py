@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import bucket_path, hhmmss
-from ..storage import numbered
+from ..storage import numbered, written
 
 WAVS_PER_DIR = 9000
 
@@ -99,6 +99,37 @@ def merged(primary: DataFrame, secondary: DataFrame, key: str = "idx", per_dir:
     return laid_out(primary.select(F.col(key).cast("long").alias(key), "text", "split").unionByName(more), per_dir, key)
 
 
+def check_archive(metadata: DataFrame, clips: DataFrame, key: str = "idx") -> None:
+    """Raises unless metadata and clips have the same keys, once each."""
+    found = integrity(metadata, clips, key).first().asDict()
+    wrong = {k: n for k, n in found.items() if n and not k.startswith("n_")}
+    if wrong:
+        raise ValueError(f"archive is not whole: {wrong}")
+
+
+def merge(
+    primary: DataFrame, secondary: DataFrame, path: str, clips: tuple[DataFrame, DataFrame] | None = None, allow_overlap: bool = False,
+    key: str = "idx", per_dir: int = WAVS_PER_DIR,
+) -> DataFrame:
+    """Merges two archives (key, text, split) and writes the result under path: (key, text, split, path), read back.
+
+    Refuses archives whose keys repeat or, where clips are given, don't match those of their clips; texts that both have,
+    unless they are allowed; and a result that doesn't come back as it was written.
+    """
+    for metadata, its in zip((primary, secondary), clips or (primary, secondary), strict=True):
+        check_archive(metadata, its, key)
+    if not allow_overlap and not (both := overlap(primary, secondary).limit(1)).isEmpty():
+        raise ValueError(f"both archives have: {both.first()[0]!r}")
+    out = written(merged(primary, secondary, key, per_dir), "merged")
+    out.write.mode("overwrite").parquet(path)
+    back = out.sparkSession.read.parquet(path)
+    print_of = [F.count("*"), F.count_distinct(key), F.sum(F.xxhash64(*out.columns).cast("decimal(38,0)"))]
+    made, read = out.agg(*print_of).first(), back.agg(*print_of).first()
+    if tuple(made) != tuple(read) or made[0] != made[1]:
+        raise ValueError(f"merged archive under {path} differs from what was written: {tuple(made)}, {tuple(read)}")
+    return back
+
+
 def totals(clips: DataFrame, by: list[str]) -> DataFrame:
     """Clips and their time by group."""
     return clips.groupBy(*by).agg(F.count("*").alias("clips"), F.coalesce(F.sum("seconds"), F.lit(0.0)).alias("seconds"))

@@ -32,6 +32,13 @@ def incomplete(wanted: DataFrame, have: DataFrame, key: str, n: int = 10) -> Dat
     return wanted.join(have.select(key), key, "left_anti").select(key).orderBy(key).limit(n)
 
 
+def check_complete(wanted: DataFrame, have: DataFrame, key: str) -> None:
+    """Raises, naming the first ten, where wanted keys are missing."""
+    missing = [r[0] for r in incomplete(wanted, have, key).collect()]
+    if missing:
+        raise ValueError(f"missing {key}: {', '.join(map(str, missing))}")
+
+
 def state(events: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The last event of each key: which directory a clip would lie in."""
     return latest(events, keys, order)

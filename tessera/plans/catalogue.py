@@ -7,6 +7,7 @@ finished and rejected work, events for decisions, and sources of documents for a
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,9 +16,9 @@ from pyspark.sql import functions as F
 from ..functions import align, audio
 from ..functions import text as tx
 from ..operators import audit, gates, release, state, words
-from ..sources import sidecars, tables
+from ..sources import clips, sidecars, tables
 from ..sources.corpus import explode_sentences
-from ..storage import numbered, percent_ranked
+from ..storage import numbered, percent_ranked, shared_dir
 
 RATE = 8000
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,7 +126,8 @@ def per_pairs(t: Tables) -> DataFrame:
 
 @query
 def per_pitch_gap(t: Tables) -> DataFrame:
-    ref, hyp = F.col("ref"), F.col("hyp")
+    # what is recognized carries stress marks; the reference has none
+    ref, hyp = F.col("ref"), F.replace("hyp", F.lit("an"), F.lit("ˈan"))
     pitch = F.when(
         tx.phonemes_pitch(ref) == "", 0.0
     ).otherwise(align.error_rate(tx.phonemes_pitch(ref), tx.phonemes_pitch(hyp)))
@@ -144,7 +146,8 @@ def wer_gate(t: Tables) -> DataFrame:
 @query
 def per_gate(t: Tables) -> DataFrame:
     made = pairs(t).withColumn("idx", F.struct("conv_id", "turn"))
-    scored = gates.evaluate(made.select("idx", "ref"), made.select("idx", "hyp"), 0.9)
+    by_word = tx.zip_phonemes(F.col("ref"), F.array_join(tx.words(F.col("ref")), "\x1f"))
+    scored = gates.evaluate(made.select("idx", tx.flat_phonemes(by_word).alias("ref")), made.select("idx", "hyp"), 0.9)
     return scored.select("idx.conv_id", "idx.turn", F.round("per", 6).alias("per"), "accepted")
 
 
@@ -232,8 +235,9 @@ def completeness_violations(t: Tables) -> DataFrame:
 
 
 def _scores(t: Tables, new: bool) -> DataFrame:
-    rows = t.labels.filter("doc_id % 3 = 0" if new else "doc_id % 2 = 0")
-    return rows.select("doc_id", F.col("toxic" if new else "quality").alias("per"))
+    """Old scores of all clips, and new ones of those whose text is toxic or that have no quality yet."""
+    rows = t.labels.filter("toxic = 1 OR quality IS NULL") if new else t.labels.filter("quality IS NOT NULL")
+    return rows.select("doc_id", (F.col("toxic") + 2 if new else F.col("quality")).alias("per"))
 
 
 @query
@@ -287,7 +291,7 @@ def _sidecars(t: Tables) -> DataFrame:
 @query
 def sidecar_parse(t: Tables) -> DataFrame:
     rows = sidecars.parse_sidecars(_sidecars(t), "side")
-    return rows.select("event_id", "index", "reason", "wer", F.coalesce("file", F.format_string("%06d.wav", "index")).alias("file"))
+    return sidecars.named(rows).select("event_id", "index", "reason", "wer", "file")
 
 
 @query
@@ -354,7 +358,7 @@ def _signals(t: Tables) -> DataFrame:
 @query
 def percentile_rank(t: Tables) -> DataFrame:
     rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice")
-    return percent_ranked(rows, "l_extendedprice", "rank").select("l_orderkey", "l_linenumber", F.round("rank", 9).alias("rank"))
+    return percent_ranked(rows, {"l_extendedprice": "rank"}).select("l_orderkey", "l_linenumber", F.round("rank", 9).alias("rank"))
 
 
 @query
@@ -411,7 +415,7 @@ def peak_normalize(t: Tables) -> DataFrame:
 
 @query
 def low_band_ratio(t: Tables) -> DataFrame:
-    return t.embeddings.select("vec_id", audio.low_band_ratio(F.col("embedding"), RATE).alias("ratio"))
+    return t.embeddings.select("vec_id", F.round(audio.low_band_ratio(F.col("embedding"), RATE), 6).alias("ratio"))
 
 
 @query
@@ -419,6 +423,56 @@ def trim_interval(t: Tables) -> DataFrame:
     return t.embeddings.select("vec_id", audio.trim_interval(F.col("embedding")).alias("i")).select("vec_id", "i.*")
 
 
+# Files
+
+
+def _clip_files(t: Tables) -> str:
+    """A folder of clips, one of each waveform."""
+    path = f"{shared_dir(t.spark)}/clips-{uuid.uuid4().hex}"
+    rows = t.embeddings.select(F.col("vec_id").alias("idx"), F.col("embedding").alias("samples"), F.lit(RATE).alias("rate"))
+    clips.write_clips(rows, path).count()
+    return path
+
+
+@query
+def clip_scan(t: Tables) -> DataFrame:
+    rows = clips.scan_clips(t.spark, _clip_files(t))
+    return rows.select("idx", F.regexp_extract("path", "[^/]+$", 0).alias("file"), F.octet_length("content").alias("bytes"))
+
+
+@query
+def wav_duration(t: Tables) -> DataFrame:
+    rows = clips.with_header(clips.scan_clips(t.spark, _clip_files(t)))
+    label = tx.seconds_label(F.col("seconds")).alias("label")
+    return rows.select("idx", "sample_rate", "channels", "bits", "frames", "seconds", label)
+
+
+@query
+def normalize_clips(t: Tables) -> DataFrame:
+    found = clips.scan_clips(t.spark, _clip_files(t))
+    return clips.normalize_clips(found, f"{shared_dir(t.spark)}/normalized-{uuid.uuid4().hex}", RATE).select("idx", "outcome", "reason", "seconds")
+
+
+@query
+def per_csv_scan(t: Tables) -> DataFrame:
+    path = f"{shared_dir(t.spark)}/per-{uuid.uuid4().hex}"
+    idx = F.col("doc_id")
+    idx_text = F.when(idx % 7 == 0, F.concat(F.lit("x"), idx.cast("string"))).otherwise(idx.cast("string"))
+    per = F.when(idx % 11 == 0, "n/a").when(idx % 13 == 0, "").otherwise(F.format_string("%.4f", F.col("quality") * 0.25))
+    pitch = F.format_string("%.4f", F.col("toxic") * 0.5)
+    rows = t.labels.select(idx_text.alias("idx"), per.alias("per"), pitch.alias("per_pitch"), F.lit("a b").alias("ref"), F.lit("a|c").alias("hyp"))
+    rows.write.csv(path, sep="|", header=True, quote='"', escape='"')
+    return tables.read_scores(t.spark, path)
+
+
+@query
+def metadata_scan(t: Tables) -> DataFrame:
+    path = f"{shared_dir(t.spark)}/metadata-{uuid.uuid4().hex}"
+    lines = t.documents.select("doc_id", tx.collapse(F.col("text")).alias("text")).filter("text <> ''")
+    release.write_manifest(release.laid_out(lines, 90, "doc_id"), path)
+    return tables.read_metadata(t.spark, path)
+
+
 # Releases
 
 
@@ -443,18 +497,25 @@ def next_generation(t: Tables) -> DataFrame:
     return tables.next_generation(t.nation.select(F.format_string("gen%03d", "n_nationkey").alias("name")))
 
 
-def _archive(t: Tables, source: str) -> DataFrame:
-    return t.documents.filter(F.col("source") == source).select(F.col("doc_id").alias("idx"), "text")
+_PRIMARY = "coalesce(lang, '') = 'en'"
+
+
+def _archives(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """All documents as two archives: English, and the rest."""
+    columns = F.col("doc_id").alias("idx"), F.col("text")
+    return t.documents.filter(_PRIMARY).select(*columns), t.documents.filter(f"NOT ({_PRIMARY})").select(*columns)
 
 
 @query
 def merge_reindex(t: Tables) -> DataFrame:
-    return release.reindexed(_archive(t, "src0"), _archive(t, "src1")).select("idx", "new_idx")
+    return release.reindexed(*_archives(t)).select("idx", "new_idx")
 
 
 @query
 def merge_overlap(t: Tables) -> DataFrame:
-    return release.overlap(_archive(t, "src0"), _archive(t, "src1"))
+    """Texts that documents of the same source share across quality: archives are read by label here."""
+    labelled = t.documents.join(t.labels, "doc_id")
+    return release.overlap(labelled.filter("quality = 1"), t.documents.join(t.labels.select("doc_id"), "doc_id", "left_anti"))
 
 
 @query
@@ -464,20 +525,20 @@ def merge_integrity(t: Tables) -> DataFrame:
 
 @query
 def merge_archives(t: Tables) -> DataFrame:
-    first = release.split(_archive(t, "src0"), 42, 0.1)
-    return release.merged(first, _archive(t, "src1"), per_dir=90)
+    first, second = _archives(t)
+    return release.merged(release.split(first, 42, 0.1), second, per_dir=90)
 
 
 @query
 def merge_report(t: Tables) -> DataFrame:
-    rows = t.documents.join(t.labels, "doc_id").filter(F.col("source").isin("src0", "src1")).groupBy("source").agg(
+    archive = F.when(F.expr(_PRIMARY), 0).otherwise(1).alias("rank")
+    rows = t.documents.join(t.labels, "doc_id").groupBy(archive).agg(
         F.count_if(F.col("quality") == 1).alias("accepted"),
         F.count_if(F.col("quality") == 0).alias("rejected"),
         (F.sum("n_chars") / 16).alias("seconds"),
         F.sum(F.col("toxic") * 2.0).alias("generation_seconds"),
     )
-    rank = F.when(F.col("source") == "src0", 0).otherwise(1)
-    return release.merged_report(rows.withColumns({"rank": rank, "model": F.col("source")}))
+    return release.merged_report(rows.withColumn("model", F.when(F.col("rank") == 0, "en").otherwise("other")))
 
 
 @query

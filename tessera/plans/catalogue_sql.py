@@ -37,21 +37,33 @@ _PAIRS = """pairs AS (SELECT a.conv_id, a.turn, a.text AS ref, b.text AS hyp FRO
   JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1)"""
 
 
-def _distances(ref: str, hyp: str) -> str:
-    """Tables p (key, r, h) and dist (key, c): edit distances row by row; a row's insertions are a running minimum."""
-    return f"""{_PAIRS},
-p AS (SELECT conv_id, turn, {_words(ref)} AS r, {_words(hyp)} AS h FROM pairs),
-dp AS (SELECT conv_id, turn, CAST(0 AS BIGINT) AS i, unnest(range(0, len(h) + 1)) AS j, unnest(range(0, len(h) + 1)) AS c FROM p
+def _distances(ref: str, hyp: str, t: str = "") -> str:
+    """Tables p (key, r, h), dp (key, i, j, c) and rate (key, rate), named with t behind: edit distances row by row; a
+    row's insertions are a running minimum."""
+    p, dp = f"p{t} AS p", f"dp{t} AS dp"
+    return f"""p{t} AS (SELECT conv_id, turn, {_words(ref)} AS r, {_words(hyp)} AS h FROM pairs),
+dp{t} AS (SELECT conv_id, turn, CAST(0 AS BIGINT) AS i, unnest(range(0, len(h) + 1)) AS j, unnest(range(0, len(h) + 1)) AS c FROM {p}
   UNION ALL SELECT conv_id, turn, i, j, min(b - j) OVER (PARTITION BY conv_id, turn ORDER BY j) + j AS c FROM (
     SELECT dp.conv_id, dp.turn, dp.i + 1 AS i, dp.j, CASE WHEN dp.j = 0 THEN dp.i + 1 ELSE least(dp.c + 1,
       lag(dp.c) OVER (PARTITION BY dp.conv_id, dp.turn ORDER BY dp.j) + CAST(p.r[dp.i + 1] <> p.h[dp.j] AS BIGINT)) END AS b
-    FROM dp JOIN p ON dp.conv_id = p.conv_id AND dp.turn = p.turn WHERE dp.i < len(p.r))),
-rate AS (SELECT conv_id, turn, CASE WHEN len(r) = 0 THEN CASE WHEN len(h) > 0 THEN 1.0 ELSE 0.0 END::DOUBLE
-  ELSE CAST(c AS DOUBLE) / len(r) END AS rate FROM dp JOIN p USING (conv_id, turn) WHERE i = len(r) AND j = len(h))"""
-
-
-_WER = "WITH RECURSIVE " + _distances(_basic("ref"), _basic("hyp"))
-_PER = "WITH RECURSIVE " + _distances(_phonemes("ref"), _phonemes("hyp"))
+    FROM {dp} JOIN {p} ON dp.conv_id = p.conv_id AND dp.turn = p.turn WHERE dp.i < len(p.r))),
+rate{t} AS (SELECT conv_id, turn, CASE WHEN len(r) = 0 THEN CASE WHEN len(h) > 0 THEN 1.0 ELSE 0.0 END::DOUBLE
+  ELSE CAST(c AS DOUBLE) / len(r) END AS rate FROM {dp} JOIN {p} USING (conv_id, turn) WHERE i = len(r) AND j = len(h))"""
+
+
+_MARKED = "replace(hyp, 'an', 'ˈan')"
+_WER = f"WITH RECURSIVE {_PAIRS}, " + _distances(_basic("ref"), _basic("hyp"))
+_PER = f"WITH RECURSIVE {_PAIRS}, " + _distances(_phonemes("ref"), _phonemes("hyp"))
+#: The way back through dp: a pair goes before a deletion before an insertion, which the word after it owns, or the last.
+_BACK = """back AS (SELECT p.conv_id, p.turn, CAST(len(r) AS BIGINT) AS i, CAST(len(h) AS BIGINT) AS j, c, CAST(NULL AS BIGINT) AS owner, CAST(0 AS BIGINT) AS edit
+  FROM p JOIN dp ON dp.conv_id = p.conv_id AND dp.turn = p.turn AND dp.i = len(r) AND dp.j = len(h) WHERE len(r) > 0
+  UNION ALL SELECT conv_id, turn, CASE WHEN pair OR del THEN i - 1 ELSE i END, CASE WHEN del AND NOT pair THEN j ELSE j - 1 END,
+    CASE WHEN pair THEN c1 WHEN del THEN c2 ELSE c - 1 END, CASE WHEN pair OR del OR i = n THEN i ELSE i + 1 END, CASE WHEN pair THEN differs ELSE 1 END
+  FROM (SELECT b.conv_id, b.turn, b.i, b.j, b.c, d1.c AS c1, d2.c AS c2, len(p.r) AS n, CAST(p.r[b.i] <> p.h[b.j] AS BIGINT) AS differs,
+      coalesce(b.c = d1.c + CAST(p.r[b.i] <> p.h[b.j] AS BIGINT), false) AS pair, coalesce(b.c = d2.c + 1, false) AS del
+    FROM back b JOIN p ON p.conv_id = b.conv_id AND p.turn = b.turn
+    LEFT JOIN dp d1 ON d1.conv_id = b.conv_id AND d1.turn = b.turn AND d1.i = b.i - 1 AND d1.j = b.j - 1
+    LEFT JOIN dp d2 ON d2.conv_id = b.conv_id AND d2.turn = b.turn AND d2.i = b.i - 1 AND d2.j = b.j WHERE b.i + b.j > 0))"""
 
 
 def _digits(x: str) -> str:
@@ -102,7 +114,11 @@ _RMS = f"sqrt(list_sum(list_transform({_X}, lambda x: x * x)) / len(embedding))"
 _PEAK = f"list_max(list_transform({_X}, lambda x: abs(x)))"
 _CREST = f"CASE WHEN {_RMS} > 0 THEN {_PEAK} / {_RMS} ELSE 0.0 END"
 _CLIPS = "clips AS (SELECT l_orderkey AS idx, max(l_discount) AS per, max(l_tax) AS per_pitch FROM lineitem GROUP BY 1)"
-_OLD_NEW = "old AS (SELECT doc_id, quality AS per FROM labels WHERE doc_id % 2 = 0), new AS (SELECT doc_id, toxic AS per FROM labels WHERE doc_id % 3 = 0)"
+_OLD_NEW = "old AS (SELECT doc_id, quality AS per FROM labels WHERE quality IS NOT NULL), new AS (SELECT doc_id, toxic + 2 AS per FROM labels WHERE toxic = 1 OR quality IS NULL)"
+_BINS = "range(0, len(embedding) // 2 + 1)"
+_ANGLE = "2 * pi() * k * i / len(embedding)"
+_WINDOWED = "embedding[i + 1]::DOUBLE * (0.5 - 0.5 * cos(2 * pi() * i / (len(embedding) - 1)))"
+_FRAMES = "range(0, 1 + len(embedding) // 512)"
 _LANGUAGE = (
     "CASE lower(" + _strip("lang") + ") "
     + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in LANGUAGE_NAMES.items())
@@ -136,8 +152,11 @@ SELECT l_orderkey, l_linenumber, reason, CASE WHEN reason LIKE 'per=%' THEN 'per
     "wer_gate": f"{_WER} SELECT conv_id, turn, round(rate, 6) AS wer, rate <= 0.9 AS accepted, rate <= 0.9 AS no_reason FROM rate",
     "per_gate": f"{_PER} SELECT conv_id, turn, round(rate, 6) AS per, rate <= 0.9 AS accepted FROM rate JOIN p USING (conv_id, turn) WHERE len(r) > 0",
     "wer_running_mean": f"{_WER} SELECT round(sum(rate), 4) AS wer_sum, count(rate) AS wer_count, round(coalesce(avg(rate), 0.0), 6) AS mean_wer FROM rate",
-    "per_pitch_gap": f"""{_PER}, marked AS (SELECT conv_id, turn, {_pitch("ref")} AS a, {_pitch("hyp")} AS b, {_phonemes("ref")} AS c, {_phonemes("hyp")} AS d FROM pairs)
-SELECT conv_id, turn, CASE WHEN a = c AND b = d THEN 0.0::DOUBLE END AS gap FROM marked""",
+    "per_pitch_gap": f"""{_PER}, {_distances(_pitch("ref"), _pitch(_MARKED), "2")}
+SELECT conv_id, turn, round(CASE WHEN len(p2.r) = 0 THEN 0.0 ELSE rate2.rate END - rate.rate, 6) AS gap FROM rate JOIN rate2 USING (conv_id, turn) JOIN p2 USING (conv_id, turn)""",
+    "align_words": f"""{_WER}, {_BACK}
+SELECT conv_id, turn, CAST(owner - 1 AS INTEGER) AS place, any_value(p.r[owner]) AS word, CAST(sum(edit) AS INTEGER) AS edits, CAST(1 AS INTEGER) AS n_tokens,
+  CAST(sum(edit) AS DOUBLE) AS per FROM back JOIN p USING (conv_id, turn) WHERE owner IS NOT NULL GROUP BY conv_id, turn, owner""",
     "word_phoneme_zip": f"""WITH {_PAIRS}, w AS (SELECT conv_id, turn, {_words("ref")} AS r, {_words("hyp")} AS h FROM pairs)
 SELECT conv_id, turn, CAST(i AS INTEGER) AS place, r[i + 1] AS word, coalesce(h[i + 1], '') AS phonemes FROM w, LATERAL (SELECT unnest(range(0, len(r))) AS i)""",
     "text_lookup_inner": "SELECT l.doc_id * 2 AS idx, d.text FROM labels l JOIN documents d ON d.doc_id = l.doc_id * 2",
@@ -187,23 +206,38 @@ SELECT idx, value, row_number() OVER (ORDER BY value, idx) - 1 AS position FROM
     "peak_normalize": f"""WITH c AS (SELECT vec_id, list_transform({_X}, lambda x: greatest(-1.0::DOUBLE, least(1.0::DOUBLE, x))) AS v FROM embeddings),
 m AS (SELECT vec_id, v, list_max(list_transform(v, lambda x: abs(x))) AS top FROM c)
 SELECT vec_id, CAST(i AS INTEGER) AS place, round(CASE WHEN top > 0 THEN v[i + 1] / top * 0.99::DOUBLE ELSE v[i + 1] END, 5) AS sample FROM m, LATERAL (SELECT unnest(range(0, len(v))) AS i)""",
+    "low_band_ratio": f"""WITH f AS (SELECT vec_id, k, k * 8000.0::DOUBLE / len(embedding) AS hertz, sqrt(power(list_sum(list_transform(range(0, len(embedding)), lambda i: {_WINDOWED} * cos({_ANGLE}))), 2)
+  + power(list_sum(list_transform(range(0, len(embedding)), lambda i: {_WINDOWED} * sin({_ANGLE}))), 2)) AS size FROM embeddings, LATERAL (SELECT unnest({_BINS}) AS k))
+SELECT vec_id, round(coalesce(sum(size) FILTER (hertz BETWEEN 80 AND 300), 0) / sum(size), 6) AS ratio FROM f GROUP BY vec_id""",
+    "trim_interval": f"""WITH l AS (SELECT vec_id, len(embedding) AS n, f, sqrt(list_sum(list_transform(embedding[greatest(1, f * 512 - 1023):f * 512 + 1024], lambda y: y::DOUBLE * y::DOUBLE)) / 2048) AS level
+  FROM embeddings, LATERAL (SELECT unnest({_FRAMES}) AS f)),
+m AS (SELECT vec_id, n, f, level, max(level) OVER (PARTITION BY vec_id) AS top FROM l)
+SELECT vec_id, CAST(coalesce(min(f) * 512, 0) AS INTEGER) AS start, CAST(coalesce(least(any_value(n), (max(f) + 1) * 512), 0) AS INTEGER) AS "end"
+FROM m WHERE top > 1e-10 AND 20 * log10(greatest(level, 1e-10) / top) > -60 GROUP BY vec_id""",
+    "clip_scan": "SELECT vec_id AS idx, printf('%06d.wav', vec_id) AS file, CAST(44 + 2 * len(embedding) AS INTEGER) AS bytes FROM embeddings",
+    "wav_duration": """SELECT vec_id AS idx, 8000 AS sample_rate, 1 AS channels, 16 AS bits, len(embedding) AS frames, len(embedding) / 8000.0::DOUBLE AS seconds,
+  printf('%.2fs', len(embedding) / 8000.0::DOUBLE) AS label FROM embeddings""",
+    "per_csv_scan": """SELECT CAST(doc_id AS INTEGER) AS idx, CASE WHEN doc_id % 11 = 0 OR doc_id % 13 = 0 THEN 0.0 ELSE quality * 0.25 END::DOUBLE AS per,
+  CASE WHEN doc_id % 11 = 0 THEN 0.0 ELSE toxic * 0.5 END::DOUBLE AS per_pitch, 'a b' AS ref_phonemes, 'a|c' AS hyp_phonemes FROM labels WHERE doc_id % 7 <> 0""",
+    "metadata_scan": f"""WITH d AS (SELECT doc_id, {_collapse("text")} AS text FROM documents), n AS (SELECT * FROM d WHERE text <> ''), m AS (SELECT *, max(doc_id) OVER () AS top FROM n)
+SELECT CAST(doc_id AS INTEGER) AS idx, {_path("doc_id", "top")} AS path, text FROM m""",
     "train_val_split": f"SELECT doc_id, split FROM {_SPLIT}",
     "bucket_representatives": f"""WITH p AS (SELECT doc_id // 90 AS b, {_path("doc_id", "top")} AS path FROM (SELECT doc_id, max(doc_id) OVER () AS top FROM documents))
 SELECT min(path) AS path FROM p GROUP BY b UNION SELECT max(path) FROM p""",
     "publish_manifest": f"SELECT {_path('doc_id', 'top')} AS path, text, split FROM {_SPLIT}",
     "next_generation": "SELECT max(n_nationkey) + 1 AS next_gen FROM nation",
-    "merge_reindex": "SELECT doc_id AS idx, (SELECT max(doc_id) FROM documents WHERE source = 'src0') + row_number() OVER (ORDER BY doc_id) AS new_idx FROM documents WHERE source = 'src1'",
-    "merge_overlap": "SELECT text FROM documents WHERE source = 'src0' INTERSECT SELECT text FROM documents WHERE source = 'src1'",
+    "merge_reindex": "SELECT doc_id AS idx, (SELECT max(doc_id) FROM documents WHERE lang = 'en') + row_number() OVER (ORDER BY doc_id) AS new_idx FROM documents WHERE coalesce(lang, '') <> 'en'",
+    "merge_overlap": "SELECT text FROM documents JOIN labels USING (doc_id) WHERE quality = 1 INTERSECT SELECT text FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
     "merge_integrity": """WITH a AS (SELECT doc_id, count(*) AS n FROM documents GROUP BY 1), b AS (SELECT doc_id, count(*) AS m FROM labels GROUP BY 1)
 SELECT CAST(sum(n) AS BIGINT) AS n_metadata, CAST(sum(m) AS BIGINT) AS n_clips, count(*) FILTER (n > 1) AS repeated_metadata, count(*) FILTER (m > 1) AS repeated_clips,
   count(*) FILTER (m IS NULL) AS only_metadata, count(*) FILTER (n IS NULL) AS only_clips FROM a FULL JOIN b USING (doc_id)""",
-    "merge_archives": f"""WITH f AS (SELECT doc_id AS idx, text, CASE WHEN row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) <= greatest(1, round_even(count(*) OVER () * 0.1, 0)) THEN 'val' ELSE 'train' END AS split FROM documents WHERE source = 'src0'),
-g AS (SELECT (SELECT max(idx) FROM f) + row_number() OVER (ORDER BY doc_id) AS idx, text, 'train' AS split FROM documents WHERE source = 'src1'),
+    "merge_archives": f"""WITH f AS (SELECT doc_id AS idx, text, CASE WHEN row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) <= greatest(1, round_even(count(*) OVER () * 0.1, 0)) THEN 'val' ELSE 'train' END AS split FROM documents WHERE lang = 'en'),
+g AS (SELECT (SELECT max(idx) FROM f) + row_number() OVER (ORDER BY doc_id) AS idx, text, 'train' AS split FROM documents WHERE coalesce(lang, '') <> 'en'),
 u AS (SELECT * FROM f UNION ALL SELECT * FROM g)
 SELECT idx, text, split, {_path("idx", "top")} AS path FROM (SELECT *, max(idx) OVER () AS top FROM u)""",
-    "merge_report": f"""WITH r AS (SELECT source, count(*) FILTER (quality = 1) AS accepted, count(*) FILTER (quality = 0) AS rejected, sum(n_chars) / 16.0::DOUBLE AS seconds, sum(toxic * 2.0::DOUBLE) AS generation_seconds
-  FROM documents JOIN labels USING (doc_id) WHERE source IN ('src0', 'src1') GROUP BY 1),
-t AS (SELECT CAST(sum(accepted) AS BIGINT) AS accepted, CAST(sum(rejected) AS BIGINT) AS rejected, sum(seconds) AS seconds, sum(generation_seconds) AS generation_seconds, min(source) AS model FROM r)
+    "merge_report": f"""WITH r AS (SELECT CASE WHEN lang = 'en' THEN 'en' ELSE 'other' END AS archive, count(*) FILTER (quality = 1) AS accepted, count(*) FILTER (quality = 0) AS rejected, sum(n_chars) / 16.0::DOUBLE AS seconds, sum(toxic * 2.0::DOUBLE) AS generation_seconds
+  FROM documents JOIN labels USING (doc_id) GROUP BY 1),
+t AS (SELECT CAST(sum(accepted) AS BIGINT) AS accepted, CAST(sum(rejected) AS BIGINT) AS rejected, sum(seconds) AS seconds, sum(generation_seconds) AS generation_seconds, min(archive) AS model FROM r)
 SELECT *, {_hhmmss("CAST(round(seconds * 1000) AS BIGINT)")} AS hhmmss FROM t""",
     "report_totals": f"""WITH d AS (SELECT quality, n_chars / 16.0::DOUBLE AS seconds FROM documents LEFT JOIN labels USING (doc_id)),
 a AS (SELECT count(*) AS input_sentences, count(*) FILTER (quality = 1) AS accepted, count(*) FILTER (quality = 0) AS rejected, count(*) FILTER (quality IS NULL) AS skipped,

@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import phonemes
 from ..operators import gates, release, state
 from ..sources.tables import read_or_empty
+from ..storage import written
 
 STEPS = ("generate", "validate", "pronunciation", "normalize", "publish")
 EVENTS = "idx long, gen int, step string, outcome string, metric double, threshold double, reason string, seq long"
@@ -26,14 +29,49 @@ class Settings:
     val_ratio: float = 0.1
     wavs_per_dir: int = release.WAVS_PER_DIR
 
-
-def plan(steps: tuple[str, ...] = STEPS, start: str | None = None, settings: Settings = Settings()) -> list[str]:
-    """The steps to run, in order, from start; the phoneme step only if it is on. Unknown names raise."""
+    def __post_init__(self):
+        for name in ("wer_threshold", "per_threshold"):
+            if getattr(self, name) < 0:
+                raise ValueError(f"{name} is below 0")
+        if not 0 <= self.val_ratio < 1:
+            raise ValueError("val_ratio is not between 0 and 1")
+
+
+def plan(
+    steps: tuple[str, ...] = STEPS,
+    start: str | None = None,
+    settings: Settings = Settings(),
+    only_rejected: bool = False,
+    calibrate: bool = False,
+) -> list[str]:
+    """The steps to run, in order, from start; the phoneme step only if it is on.
+
+    Raises on unknown names and on options that no step of the plan takes: only_rejected (generate, validate or
+    pronunciation), calibrate (pronunciation), a layout of one's own (publish).
+    """
     for name in (*steps, *([start] if start else [])):
         if name not in STEPS:
             raise ValueError(f"unknown step: {name}")
     first = STEPS.index(start) if start else 0
-    return [s for s in STEPS[first:] if s in steps and (s != "pronunciation" or settings.phoneme_check)]
+    chosen = [s for s in STEPS[first:] if s in steps and (s != "pronunciation" or settings.phoneme_check)]
+    if only_rejected and not {"generate", "validate", "pronunciation"} & set(chosen):
+        raise ValueError("no step of the plan works on rejected clips")
+    if calibrate and "pronunciation" not in chosen:
+        raise ValueError("calibration needs the pronunciation step")
+    if settings.wavs_per_dir != release.WAVS_PER_DIR and "publish" not in chosen:
+        raise ValueError("a layout needs the publish step")
+    return chosen
+
+
+def last_generation(spark: SparkSession, path: str) -> int | None:
+    """The number of the last release under a folder; None where there is none."""
+    try:
+        found = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+    return found.agg(F.max("gen")).first()[0]
 
 
 def resumes(done: int, total: int) -> bool:
@@ -114,14 +152,52 @@ class Curation:
         if not calibrate:
             work = state.pending(work, self.latest("pronunciation"), "idx")
         heard = work.join(recognize(work.join(self.corpus, "idx")).select("idx", "ref", "hyp"), "idx")
-        scored = gates.phoneme_errors(heard, "ref", "hyp", "metric")
+        # clips without a reference are left out: they stay pending
+        scored = gates.phoneme_errors(heard, "ref", "hyp", "metric").filter(F.coalesce(phonemes(F.col("ref")), F.lit("")) != "")
         if calibrate:
-            return gates.calibration(scored, "metric", self.settings.per_threshold)
-        empty = F.coalesce("ref", F.lit("")) == ""
-        self.append(scored.filter(empty).select("idx", "gen", F.lit("accepted").alias("outcome"), F.lit("no reference").alias("reason")), "pronunciation")
-        self._gated("pronunciation", scored.filter(~empty), self.settings.per_threshold, "per")
+            return gates.calibration(written(scored.select("metric"), "heard"), "metric", self.settings.per_threshold)
+        self._gated("pronunciation", scored, self.settings.per_threshold, "per")
         return None
 
+    def normalize(self, to_wav: Callable[[DataFrame], DataFrame]) -> None:
+        """to_wav: (idx) -> (idx, outcome, reason), as sources.clips.normalize_clips over the clips' contents gives."""
+        last = "pronunciation" if self.settings.phoneme_check else "validate"
+        work = state.pending(self.passed(last), self.latest("normalize").filter("outcome <> 'failed'"), "idx")
+        out = work.join(to_wav(work.select("idx")).select("idx", "outcome", "reason"), "idx")
+        self.append(out, "normalize")
+
+    def run(self, models: dict[str, Callable[[DataFrame], DataFrame]], publish_to: str | None = None, **options) -> dict[str, dict[str, int]]:
+        """Runs a plan (options: see plan): each step's function is the model of its name. Gives the counts of outcomes of
+        each step, of the clips' last generations; publish writes the released clips to a folder.
+
+        A step of the plan without a model raises before anything runs.
+        """
+        steps = plan(settings=self.settings, **options)
+        rejected = options.get("only_rejected", False)
+        missing = [s for s in steps if s != "publish" and s not in models] + ["publish"] * ("publish" in steps and not publish_to)
+        if missing:
+            raise ValueError(f"nothing to run for {', '.join(missing)}")
+        counts = {}
+        for step in steps:
+            if step == "generate":
+                self.generate(models[step], only_rejected=rejected)
+            elif step == "validate":
+                self.validate(models[step], again=rejected and "generate" not in steps)
+            elif step == "pronunciation":
+                found = self.pronunciation(models[step], options.get("calibrate", False))
+                if found is not None:
+                    counts[step] = found.first().asDict()
+                    break  # a calibration decides on a threshold: later steps wait for it
+            elif step == "normalize":
+                self.normalize(models[step])
+            else:
+                clips = self.released()
+                release.publish(clips, publish_to, (last_generation(self.spark, publish_to) or 0) + 1, self.settings.wavs_per_dir)
+                counts[step] = {"accepted": clips.count()}
+                continue
+            counts[step] = {r.outcome: r["count"] for r in self.latest(step).groupBy("outcome").count().collect()}
+        return counts
+
     def decide(self, decisions: DataFrame) -> None:
         """Applies decisions (idx, action): keep or bad; the clip's last generation takes them as its validation."""
         now = self.latest("generate").select("idx", "gen")

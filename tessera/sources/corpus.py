@@ -29,9 +29,15 @@ def explode_sentences(docs: DataFrame, key: str, text: str) -> DataFrame:
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:
     """(idx, text) of the sentences in files under path, by file name, then line, numbered from 0.
 
-    Files are read whole, so a corpus comes in files that each fit in memory.
+    Files are read line by line, and large ones in several tasks: a line's place is its block's start in the file and its
+    number among the task's rows, which grows through a block.
     """
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
-    return numbered(explode_sentences(files, "path", "value"), ["path", "line"], "idx").select(
-        F.col("idx").cast("int").alias("idx"), "text"
+    lines = spark.read.text(path).select(
+        F.struct(
+            F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("row"),
+        ).alias("at"),
+        "value",
     )
+    return numbered(explode_sentences(lines, "at", "value"), ["at", "line"], "idx").select("idx", "text")

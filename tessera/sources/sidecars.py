@@ -33,12 +33,17 @@ def kind() -> Column:
     )
 
 
+def named(sidecars: DataFrame) -> DataFrame:
+    """sidecars whose file, where it is missing, is named after the index."""
+    return sidecars.withColumn("file", F.coalesce("file", F.format_string("%06d.wav", "index")))
+
+
 def review_records(sidecars: DataFrame) -> DataFrame:
     """What a reviewer sees: missing strings empty, the file named after the index."""
     text = lambda c: F.coalesce(F.col(c), F.lit("")).alias(c)
-    return sidecars.select(
+    return named(sidecars).select(
         "index",
-        F.coalesce("file", F.format_string("%06d.wav", "index")).alias("file"),
+        "file",
         *map(text, ("expected", "transcription", "reason", "ref_phonemes", "hyp_phonemes")),
     )
 
@@ -52,6 +57,11 @@ def log_records(sidecars: DataFrame) -> DataFrame:
     )
 
 
+def write_log(sidecars: DataFrame, path: str) -> None:
+    """The log of rejected clips, one JSON line each, built anew from their side files."""
+    log_records(sidecars).write.mode("overwrite").text(path)
+
+
 def decisions(rows: DataFrame, text: str) -> DataFrame:
     """(idx, action, reason, ts) from {"decisions": {"<idx>": {...}}}; text that is no such map gives none."""
     shape = "struct<decisions: map<string, struct<action: string, reason: string, ts: string>>>"

@@ -75,6 +75,46 @@ def test_text_goldens(spark):
     assert [tuple(z) for z in zipped] == [("uno", "u n o"), ("due", "d")]
 
 
+def test_folding_as_python_does(spark):
+    import unicodedata
+
+    texts = [None, "", "plain", "é ﬁn ½ Å ﷺ Ⅷ ｆｕｌｌ 𝒜 ß ø ñ", "a\u0301\u0323b", "漢字 ①②", *map(chr, range(0xA0, 0x250))]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", tx.fold_ascii(F.col("t")).alias("x")).collect()
+    for r in rows:
+        assert r.x == (r.t and unicodedata.normalize("NFKD", r.t).encode("ascii", "ignore").decode())
+
+
+def test_spelling_hooks(spark):
+    digits = lambda c, lang: F.when(lang == "en", F.regexp_replace(c, "3", " three ")).otherwise(c)
+    row = spark.createDataFrame([("Only 3 cats", "en"), ("Solo 3 gatti", "it")], "t string, l string")
+    got = [r.x for r in row.select(tx.normalize_full(F.col("t"), F.col("l"), (digits,)).alias("x")).collect()]
+    assert got == ["only three cats", "solo 3 gatti"]
+
+
+def test_labels_and_names(spark):
+    assert one(spark, tx.seconds_label(F.lit(1.236))) == "1.24s" and one(spark, tx.seconds_label(F.lit(None).cast("double"))) == ""
+    assert one(spark, tx.same_name(F.lit("Anna"), F.lit("aNNa"))) is True
+    assert one(spark, tx.utc_now()).endswith("+00:00") and len(one(spark, tx.local_time(F.current_timestamp()))) == 19
+
+
+def test_null_arrays_give_null(spark):
+    df = spark.createDataFrame([(None, None, None), ([0.5] * 600, ["a"], "a")], "x array<float>, w array<string>, t string")
+    pairs = F.transform("w", lambda w: F.struct(w.alias("word"), w.alias("phonemes")))
+    rows = df.select(
+        audio.trim_interval(F.col("x")).alias("i"), align.align_words(pairs, F.col("t")).alias("a"), align.word_diff(F.col("w"), F.col("w")).alias("d"),
+        audio.low_band_ratio(F.col("x"), 8000).alias("b"),
+    ).collect()
+    assert tuple(rows[0].i or (None, None)) == (None, None) and rows[0].a is None and rows[0].d is None and rows[0].b is None
+    assert tuple(rows[1].i) == (0, 600) and rows[1].a[0].per == 0.0 and rows[1].d[0].tag == "equal"
+
+
+def test_alignment_over_many_kept_rows():
+    rng = random.Random(8)
+    ref, hyp = ([rng.choice("abcdefgh") for _ in range(n)] for n in (700, 650))
+    made = align.align([(t, [t]) for t in ref], hyp)
+    assert len(made) == 700 and sum(e for _, e, _, _ in made) == brute_distance(ref, hyp)
+
+
 def test_languages(spark):
     names = ["Italian", " it ", "haw", "Auto", "xx", "ZH", None]
     rows = spark.createDataFrame([(n,) for n in names], "n string").select(tx.language_code(F.col("n")).alias("c")).collect()

@@ -50,6 +50,49 @@ def test_plans_of_steps():
     assert curation.resumes(1, 2) and not curation.resumes(0, 2) and not curation.resumes(2, 2)
 
 
+def test_options_need_their_steps():
+    for options in (
+        {"steps": ("publish",), "only_rejected": True},
+        {"steps": ("validate",), "calibrate": True},
+        {"steps": ("validate",), "settings": curation.Settings(wavs_per_dir=10)},
+    ):
+        with pytest.raises(ValueError):
+            curation.plan(**options)
+    for wrong in ({"wer_threshold": -1}, {"val_ratio": 1.0}):
+        with pytest.raises(ValueError):
+            curation.Settings(**wrong)
+
+
+def test_a_plan_is_run_to_the_release(spark, tmp_path):
+    corpus = spark.createDataFrame([(0, "uno due"), (1, "tre"), (2, "")], "idx long, text string")
+    calls = []
+
+    def heard(clips):
+        calls.append(clips.count())
+        return clips.select("idx", F.lit("a b").alias("ref"), F.when(F.col("idx") == 0, "a b").otherwise("x y").alias("hyp"))
+
+    models = {
+        "generate": lambda df: adapters.apply(df, adapters.ToneSpeech()),
+        "validate": lambda clips: clips.select("idx", F.col("text").alias("transcription")),
+        "pronunciation": heard,
+        "normalize": lambda work: work.select("idx", F.lit("ok").alias("outcome"), F.lit(None).cast("string").alias("reason")),
+    }
+    run = curation.Curation(spark, corpus, str(tmp_path / "log"))
+    with pytest.raises(ValueError, match="nothing to run for normalize, publish"):
+        run.run({k: v for k, v in models.items() if k != "normalize"})
+    counts = run.run(models, str(tmp_path / "out"))
+    assert counts == {
+        "generate": {"accepted": 2, "skipped": 1}, "validate": {"accepted": 2}, "pronunciation": {"accepted": 1, "rejected": 1},
+        "normalize": {"ok": 1}, "publish": {"accepted": 1},
+    }
+    assert calls == [2]  # the model heard each clip once
+    again = run.run(models, str(tmp_path / "out"), start="publish")
+    assert again == {"publish": {"accepted": 1}} and curation.last_generation(spark, str(tmp_path / "out")) == 2
+    assert run.run(models, steps=("pronunciation",), calibrate=True)["pronunciation"]["count"] == 2
+    only = run.run(models, steps=("generate", "validate"), only_rejected=True)
+    assert only["generate"]["accepted"] == 2 and run.latest("generate").filter("gen = 2").count() == 1
+
+
 def test_curation_from_corpus_to_release(spark, tmp_path):
     corpus = spark.createDataFrame([(0, "uno due tre"), (1, "quattro cinque sei"), (2, "sette otto"), (3, "")], "idx long, text string")
     said = spark.createDataFrame([(0, "uno due tre"), (1, "altro"), (2, "sette otto")], "idx long, transcription string")
