@@ -9,9 +9,11 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..storage import shared_dir, written
+from ..storage import drop, numbered, running_totals, shared_dir, working, written
 
-__all__ = ["UPPER", "WORD", "ascii_lower", "fresh", "shared_dir", "slices", "table", "utf8", "written"]
+__all__ = [
+    "UPPER", "WORD", "ascii_lower", "drop", "fresh", "numbered", "running_totals", "shared_dir", "slices", "table", "utf8", "working", "written",
+]
 
 #: White space that separates words in every operator here: U+0020 and U+0009 to U+000D.
 WORD = "[^\\x20\\x09-\\x0D]+"

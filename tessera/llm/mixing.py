@@ -13,10 +13,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, written
+from .common import WORD, numbered, running_totals, working, written
 
 WEIGHTS = (5, 2, 1)
 SHARE, MOST = 1.5, 2.0
@@ -31,23 +31,24 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float
     """(source, source_size, units, target) from (source, source_size, units), one row for each source.
 
     Weights repeat over the sources by code point, null last. Targets are share of all sizes, dealt by weight; none is
-    over most times its source's size, and the excess goes to the others by weight. One row stands for a whole source,
-    so the windows here see a small table.
+    over most times its source's size, and the excess goes to the others by weight. Where share is most or more, all
+    targets are at that limit. Sources may be as many as hosts: they are numbered and summed up by running totals.
     """
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    weight = F.element_at(F.array(*map(F.lit, weights)), (F.row_number().over(by_name) - 1) % len(weights) + 1)
-    sized = sizes.withColumn("weight", weight).withColumn("most", F.col("source_size") * F.lit(most))
+    sized = sizes.withColumn("last", F.col("source").isNull())
+    sized = numbered(sized, ["last", "source"], "place")
+    weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("place") % len(weights) + 1).cast("int"))
+    sized = sized.withColumn("weight", weight).withColumn("most", F.col("source_size") * F.lit(float(most)))
     # sources by the level at which they reach their limit: the level that holds is the first with no limit below it
-    order = [F.col("most") / F.col("weight"), F.col("source").asc_nulls_last()]
-    before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    onwards = Window.orderBy(*order).rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    total = F.sum("source_size").over(Window.partitionBy()) * F.lit(share)
-    level = (total - F.coalesce(F.sum("most").over(before), F.lit(0.0))) / F.sum("weight").over(onwards)
-    levels = sized.withColumn("level", level).withColumn("rank", F.row_number().over(Window.orderBy(*order)))
-    holds = F.when(F.col("level") * F.col("weight") <= F.col("most"), F.col("rank"))
-    water = F.min_by("level", holds).over(Window.partitionBy())
-    target = F.least(F.col("most"), F.coalesce(water, F.lit(0.0)) * F.col("weight"))
-    return levels.select("source", "source_size", "units", target.alias("target"))
+    ranked = sized.withColumn("limit", F.col("most") / F.col("weight"))
+    before = {"most_before": F.col("most"), "weight_before": F.col("weight")}
+    ranked = written(running_totals(ranked, ["limit", "place"], before), "levels")
+    sums = ranked.agg(F.sum("source_size").alias("all_sizes"), F.sum("weight").alias("all_weights"))
+    levels = ranked.join(F.broadcast(sums), F.lit(True))  # one row
+    level = (F.col("all_sizes") * F.lit(float(share)) - F.col("most_before")) / (F.col("all_weights") - F.col("weight_before"))
+    levels = levels.withColumn("level", level).filter(F.col("level") * F.col("weight") <= F.col("most"))
+    water = levels.agg(F.min_by("level", F.struct("limit", "place")).alias("water"))  # one row
+    target = F.coalesce(F.least(F.col("most"), F.col("water") * F.col("weight")), F.col("most"))
+    return ranked.join(F.broadcast(water), F.lit(True)).select("source", "source_size", "units", target.alias("target"))
 
 
 def _draw(seed: int, a: Column, b: Column) -> Column:
@@ -130,6 +131,12 @@ def mix(
     rows = docs.select(
         F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), size_of(F.col(text_col)).alias("size")
     )
+    with working(docs.sparkSession) as keep:
+        return keep(_mixed(rows, docs.schema[id_col].dataType.simpleString(), weights, share, most, chunk, seed), "mix")
+
+
+def _mixed(rows: DataFrame, id_kind: str, weights, share: float, most: float, chunk: int, seed: int) -> DataFrame:
+    """mix of rows (id, source, size)."""
     units = written(rows.groupBy("source", "id", "size").agg(F.count("*").alias("times")), "units")
     sums = units.groupBy("source").agg(
         F.sum(F.col("size") * F.col("times")).alias("source_size"), F.count("*").alias("units")
@@ -153,7 +160,7 @@ def mix(
             "unit"
         ),
     )
-    kind = f"struct<id: {docs.schema[id_col].dataType.simpleString()}, size: bigint, times: bigint, base: bigint, h: bigint, x: double>"
+    kind = f"struct<id: {id_kind}, size: bigint, times: bigint, base: bigint, h: bigint, x: double>"
     left = aims.agg(F.max("units")).first()[0] or 0
     while True:
         # hash bits of another kind at each level, so the units of a chunk don't meet again

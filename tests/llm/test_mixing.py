@@ -55,6 +55,18 @@ def check(spark, rows, **options):
     return sorted(map(tuple, out), key=str)
 
 
+def test_a_share_of_most_or_more_takes_all_there_is(spark):
+    rows = rows_of(60, ["a", "b", None])
+    for share in (2.0, 2.5, 9.0):
+        for r in mixing.mix(frame(spark, rows), share=share).collect():
+            assert r.taken == 2 * r.size and r.target == 2.0 * r.source_size
+
+
+def test_as_many_sources_as_documents(spark):
+    rows = [(k, "w " * (k % 7 + 1), f"host{k}", 1) for k in range(90)]
+    check(spark, rows)
+
+
 def test_sources_come_to_their_targets(spark):
     rows = rows_of(700, ["a", "b", "c", "d", "é", None])
     rows += [(5000, None, "a", 1), (5001, "", "b", 1), (5002, " \t", None, 1), (5003, "long " * 20000, "c", 1)]
