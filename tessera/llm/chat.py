@@ -18,10 +18,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import slices
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Splits text before merges, as the vocabulary asks for.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -42,11 +43,11 @@ def encoder(path: str):
 
 def escape(text: str) -> str:
     r"""Puts one more backslash between < and |, so that no control string is left."""
-    return re.sub(r"<(\\*)\|", r"<\1\\|", text)
+    return re.sub(r"<(\\*)\|", r"<\1\\|", text) if "<" in text else text
 
 
 def unescape(text: str) -> str:
-    return re.sub(r"<\\(\\*)\|", r"<\1|", text)
+    return re.sub(r"<\\(\\*)\|", r"<\1|", text) if "<" in text else text
 
 
 def _role_line(role: str) -> str:
@@ -58,19 +59,22 @@ def _role_of(line: str) -> str:
     return re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], unescape(line.removesuffix("\n")))
 
 
-def turn_ids(role: str, text: str, path: str = VOCABULARY) -> tuple[list[int], np.ndarray]:
-    """The ids of a turn and its loss mask, which holds the text of a learned role alone."""
-    encode = encoder(path).encode_ordinary
-    segments = [[START], encode(_role_line(role)), encode(escape(text)), [END], encode("\n")]
-    ends = np.cumsum([len(s) for s in segments])
-    edge = np.zeros(ends[-1] + 1, np.int8)
-    if role == LEARNED_ROLE:
-        edge[ends[1]] += 1
-        edge[ends[2]] -= 1
-    return [i for s in segments for i in s], np.cumsum(edge)[:-1].astype(bool)
+def segments(role: str, text: str, path: str = VOCABULARY) -> tuple[np.ndarray, ...]:
+    """The ids of a turn's segments, each encoded by itself: reserved id, role line, text, reserved id, line end."""
+    head, line_end = _fixed(role, path)
+    return _START, head, encoder(path).encode_to_numpy(escape(text), disallowed_special=()), _END, line_end
+
+
+_START, _END = np.array([START], np.uint32), np.array([END], np.uint32)
+
 
+@lru_cache(maxsize=256)
+def _fixed(role: str, path: str) -> tuple[np.ndarray, np.ndarray]:
+    encode = encoder(path).encode_to_numpy
+    return encode(_role_line(role), disallowed_special=()), encode("\n", disallowed_special=())
 
-_TURN = "conv_id {kind}, turn {turn}, place long, offset long, ids array<int>, mask array<boolean>"
+
+_TURN = "conv_id {kind}, turn {turn}, place long, offset long, ids array<int>, learned array<int>"
 
 
 def format_turns(
@@ -79,42 +83,46 @@ def format_turns(
     turn_col: str = "turn",
     role_col: str = "role",
     text_col: str = "text",
-    path: str = VOCABULARY,
+    path: str | None = None,
 ) -> DataFrame:
-    """One row per turn: conv_id, turn, place in its conversation from 0, offset of its first token, ids, mask.
+    """One row per turn: conv_id, turn, place in its conversation from 0, offset of its first token, ids, and the loss
+    mask as learned, the start and end of each run of ids in the turn that it holds.
+
+    Rows of a conversation stand by turn (null first), then role, then text, next to each other in one partition; repeated
+    rows are turns of their own. A null role or text is empty; null conversation ids are one conversation. Texts of any
+    length are encoded whole. An empty table gives no rows. Other columns of rows are left out.
 
-    Rows of a conversation stand by turn (null first), then role, then ids, next to each other in one partition; repeated
-    rows are turns of their own. A null role or text is empty; null conversation ids are one conversation. An empty table
-    gives no rows. Other columns of rows are left out.
+    path: the vocabulary; by default what the session names in tessera.chat.vocabulary, else VOCABULARY. Every executor
+    has to have that file.
     """
     kind, number = (rows.schema[c].dataType.simpleString() for c in (conv_col, turn_col))
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                roles, texts = part.column(2).to_pylist(), part.column(3).to_pylist()
-                made = [turn_ids(r, t, path) for r, t in zip(roles, texts, strict=True)]
-                cols = [
-                    *part.columns[:3],
-                    pa.array([m[0] for m in made], pa.list_(pa.int32())),
-                    pa.array([m[1] for m in made], pa.list_(pa.bool_())),
-                ]
-                yield pa.RecordBatch.from_arrays(cols, ["conv_id", "turn", "role", "ids", "mask"])
+    path = path or vocabulary(rows.sparkSession)
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, place, offset, first = None, 0, 0, True
         for batch in batches:
-            places, offsets = [], []
-            lengths = pc.list_value_length(batch.column(2)).to_pylist()
-            for conv, n in zip(batch.column(0).to_pylist(), lengths, strict=True):
-                if first or conv != now:
-                    now, place, offset, first = conv, 0, 0, False
-                places.append(place)
-                offsets.append(offset)
-                place, offset = place + 1, offset + n
-            cols = [*batch.columns[:2], pa.array(places, pa.int64()), pa.array(offsets, pa.int64()), *batch.columns[2:]]
-            yield pa.RecordBatch.from_arrays(cols, ["conv_id", "turn", "place", "offset", "ids", "mask"])
+            for part in slices(batch, "text", 1 << 20):
+                roles = part.column(2).to_pylist()
+                made = [segments(r, t, path) for r, t in zip(roles, part.column(3).to_pylist(), strict=True)]
+                ends = np.cumsum([[len(s) for s in m] for m in made], axis=1)  # of the segments of each turn
+                size = ends[:, -1]
+                places, offsets = [], []
+                for conv, n in zip(part.column(0).to_pylist(), size.tolist(), strict=True):
+                    if first or conv != now:
+                        now, place, offset, first = conv, 0, 0, False
+                    places.append(place)
+                    offsets.append(offset)
+                    place, offset = place + 1, offset + n
+                ids = pa.array(np.concatenate([s for m in made for s in m]).astype(np.int32))
+                learned = [[a, b] if r == LEARNED_ROLE else [] for r, a, b in zip(roles, ends[:, 1], ends[:, 2], strict=True)]
+                cols = [
+                    *part.columns[:2],
+                    pa.array(places, pa.int64()),
+                    pa.array(offsets, pa.int64()),
+                    pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), ids),
+                    pa.array(learned, pa.list_(pa.int32())),
+                ]
+                yield pa.RecordBatch.from_arrays(cols, ["conv_id", "turn", "place", "offset", "ids", "learned"])
 
     plain = rows.select(
         F.col(conv_col).alias("conv_id"),
@@ -122,13 +130,15 @@ def format_turns(
         F.coalesce(F.col(role_col).cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
     )
-    encoded = plain.mapInArrow(
-        encode, f"conv_id {kind}, turn {number}, role string, ids array<int>, mask array<boolean>"
-    )
-    ordered = encoded.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "ids").drop("role")
+    # texts are shuffled, not their ids, which take more room
+    ordered = plain.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
     return ordered.mapInArrow(assemble, _TURN.format(kind=kind, turn=number))
 
 
+def vocabulary(spark: SparkSession) -> str:
+    return spark.conf.get("tessera.chat.vocabulary", VOCABULARY)
+
+
 class _Reader:
     """Reads the turns of one conversation back from ids and mask and keeps running digests."""
 
@@ -137,38 +147,33 @@ class _Reader:
         self.turns, self.loss = hashlib.sha256(), hashlib.sha256()
         self.n_turns = self.loss_chars = self.shown = 0
 
-    def text(self, ids: list[int]) -> str:
-        return self.decode(ids).decode()
-
-    def add(self, ids: list[int], mask: list[bool]) -> None:
-        at = 0
-        while at < len(ids):
-            if ids[at] != START:
-                raise ValueError("a turn starts with its reserved id")
-            end = ids.index(END, at)
-            body = self.text(ids[at + 1 : end])
-            line, _, text = body.partition("\n")
-            role, plain = _role_of(line), unescape(text)
-            self.turns.update(f"{role}\n{plain}\n".encode())
-            self.n_turns += 1
-            learned = unescape(self.text([i for i, m in zip(ids[at:end], mask[at:end], strict=True) if m]))
-            self.loss.update(learned.encode())
-            self.loss_chars += len(learned)
-            after = end + 1
-            while after < len(ids) and ids[after] != START:
-                after += 1
-            self.shown += len(SHOWN[START]) + len(body) + len(SHOWN[END]) + len(self.text(ids[end + 1 : after]))
-            at = after
+    def text(self, ids: np.ndarray) -> str:
+        return self.decode(ids.tolist()).decode()
+
+    def add(self, ids: np.ndarray, learned: list[int]) -> None:
+        starts, ends = np.flatnonzero(ids == START), np.flatnonzero(ids == END)
+        if len(starts) != 1 or len(ends) != 1 or starts[0]:
+            raise ValueError("a turn has its two reserved ids, the first at its start")
+        body = self.text(ids[1 : ends[0]])
+        line, _, text = body.partition("\n")
+        self.turns.update(f"{_role_of(line)}\n{unescape(text)}\n".encode())
+        self.n_turns += 1
+        for start, end in zip(learned[::2], learned[1::2], strict=True):
+            text = unescape(self.text(ids[start:end]))
+            self.loss.update(text.encode())
+            self.loss_chars += len(text)
+        self.shown += len(SHOWN[START]) + len(body) + len(SHOWN[END]) + len(self.text(ids[ends[0] + 1 :]))
 
     def row(self) -> tuple:
         return self.n_turns, self.turns.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.shown
 
 
-def read_back(turns: DataFrame, path: str = VOCABULARY) -> DataFrame:
+def read_back(turns: DataFrame, path: str | None = None) -> DataFrame:
     """One row per conversation of what format_turns gave, from its ids and masks alone: conv_id, n_turns,
     turns_sha256, loss_chars, loss_sha256, formatted_chars."""
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
     kind = turns.schema["conv_id"].dataType
+    path = path or vocabulary(turns.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def block(rows: list[tuple]) -> pa.RecordBatch:
@@ -178,15 +183,17 @@ def read_back(turns: DataFrame, path: str = VOCABULARY) -> DataFrame:
 
         done, now, reader, id_type = [], None, None, pa.int64()
         for batch in batches:
-            id_type = batch.column(0).type
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                for conv, ids, mask in zip(*(part.column(c).to_pylist() for c in ("conv_id", "ids", "mask")), strict=True):
-                    if reader is None or conv != now:
-                        if reader is not None:
-                            done.append((now, *reader.row()))
-                        now, reader = conv, _Reader(path)
-                    reader.add(ids, mask)
+            id_type = batch.column("conv_id").type
+            ids, at = (x.to_numpy() for x in (batch.column("ids").flatten(), batch.column("ids").value_lengths()))
+            ends = np.cumsum(at)
+            for conv, learned, end, n in zip(
+                batch.column("conv_id").to_pylist(), batch.column("learned").to_pylist(), ends, at, strict=True
+            ):
+                if reader is None or conv != now:
+                    if reader is not None:
+                        done.append((now, *reader.row()))
+                    now, reader = conv, _Reader(path)
+                reader.add(ids[end - n : end], learned)
             if len(done) >= 1000:
                 yield block(done)
                 done = []

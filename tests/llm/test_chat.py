@@ -50,8 +50,12 @@ def test_offsets_are_prefix_sums_and_masks_cover_learned_text_alone(spark):
     rows = chat.format_turns(spark.createDataFrame([(*r, 1, "m") for r in ROWS], SCHEMA)).filter("conv_id = 4").orderBy("place")
     at = 0
     for r in rows.collect():
-        assert r.offset == at and len(r.ids) == len(r.mask) and r.ids[0] == chat.START and r.ids.count(chat.END) == 1
-        assert any(r.mask) == (r.place != 1)
+        assert r.offset == at and r.ids[0] == chat.START and r.ids.count(chat.END) == 1
+        assert len(r.learned) == (0 if r.place == 1 else 2)
+        if r.learned:
+            start, end = r.learned
+            said = chat.encoder(chat.VOCABULARY).decode(r.ids[start:end])
+            assert chat.unescape(said) == ROWS[8 + r.place][3] and r.ids[end] == chat.END
         at += len(r.ids)
 
 
