@@ -1,80 +1,123 @@
 """Personal data: base patterns, and bootstrapped contextual extraction of what they miss.
 
-Native: DataFrame functions only. Base matches seed a graph. A pattern is a lexical context,
-the two words to the left of a word; its instances are the words that stand there. A pattern's
-confidence is the share of all its occurrences in the corpus that are known identifiers, an instance's score is 1 if it is a seed and else that at least one of
-its patterns is right. Rounds of scoring let good patterns raise new instances and those
-raise new patterns, until nothing changes; then instances with a high score in patterns of high confidence are
-personal data as well, of the kind of most seeds of their pattern.
+Native: DataFrame functions only. Base matches seed a graph of instances, values of words, and
+lexical patterns in which they stand: the two words to the left; and, for words with a form
+(digits, symbols inside), the word to the left or to the right with the shape of the value,
+and that shape alone. A pattern's confidence is the share of all its occurrences in the corpus
+that are known identifiers, an instance's score is 1 if it is a seed and else that at least one
+of its patterns is right. Rounds of scoring let good patterns raise new instances and those
+raise new patterns, until nothing changes; then instances with a high score in patterns of high
+confidence are personal data as well, of the kind of most seeds of their pattern.
+
+Base matches are hidden for this: their characters become private ones, one for one, so that
+each match is (part of) one word that tells its kind, and places in the text stay what they are.
+Everything done to one text takes time by its length, whatever the number of its matches.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, fresh, written
-
-_LOCAL = "[A-Za-z0-9._%+-]"
-#: Kinds in their order. Possessive repeats and start conditions keep every search linear; they don't change matches:
-#: a repeat never stops before a character of its own class, and a start within a run fails where the run's start did.
-#: \G lets a match begin where the last one ended.
-EMAIL = rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
-IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
-#: Whole runs of digits with single spaces or hyphens between, of 12 to 19 digits.
-CARD = r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){11,18}+(?![ -]?[0-9])"
-PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
+from .common import WORD, fresh, working, written
+
 KINDS = ("email", "ip", "card", "phone")
 _BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
+
+#: Private characters from here on: an ASCII character hidden by a kind is _HIDDEN + 128 * its rank + its code, and 512
+#: more at the start of a match.
+_HIDDEN, _START = 0xF0000, 512
+_ANY_HIDDEN = rf"\x{{{_HIDDEN:x}}}-\x{{{_HIDDEN + 2 * _START - 1:x}}}"
+_IS_HIDDEN = f"[{_ANY_HIDDEN}]"
+
 #: Punctuation before and after the letters and digits of a word.
+_INNER = rf"\p{{L}}\p{{N}}{_ANY_HIDDEN}"
+_LEAD = rf"^[^{_INNER}]+(?=[{_INNER}])"
+_TAIL = rf"(?<=[{_INNER}])[^{_INNER}]+$"
 AROUND = (
-    r"(?<![^\x20\x09-\x0D])[^\p{L}\p{N}\x20\x09-\x0D]++(?=[\p{L}\p{N}])"
-    r"|(?<=[\p{L}\p{N}])[^\p{L}\p{N}\x20\x09-\x0D]++(?![^\x20\x09-\x0D])"
+    rf"(?<![^\x20\x09-\x0D])[^{_INNER}\x20\x09-\x0D]++(?=[{_INNER}])"
+    rf"|(?<=[{_INNER}])[^{_INNER}\x20\x09-\x0D]++(?![^\x20\x09-\x0D])"
 )
-#: One word that a card number can be, and texts that may have such words.
+#: Words with a form: digits, an @, hidden characters, or symbols other than hyphens and apostrophes inside.
+FORMED = rf"[0-9@{_ANY_HIDDEN}]|[\p{{L}}\p{{N}}][._%+:/()\[\]]+[\p{{L}}\p{{N}}]"
+#: One word that a card number can be.
 CARD_WORD = "[0-9](?:-?[0-9]){11,18}+"
-ALIKE = "[0-9](?:-?[0-9]){11}"
 
 #: Scores have settled when their sums move by less in a round.
-SETTLED = 1e-6
+SETTLED = 1e-4
 
 _SPAN = "struct<start: int, rank: int, kind: string, end: int>"
+_BLOCK = 128
+
+
+def _set(ranges: tuple[str, ...], hidden_by: int) -> str:
+    """The class of some ASCII characters, given as ranges of two, also as hidden by the first kinds."""
+    shifts = [_HIDDEN + 128 * rank + start for rank in range(hidden_by) for start in (0, _START)]
+    parts = (rf"\x{{{ord(r[0]) + s:x}}}-\x{{{ord(r[1]) + s:x}}}" for s in (0, *shifts) for r in ranges)
+    return f"[{''.join(parts)}]"
+
+
+def _patterns(hidden: bool = False) -> tuple[str, str, str, str]:
+    """The patterns of KINDS, for a plain text or for one in which the kinds before each one have been hidden.
+
+    Possessive repeats and start conditions keep every search linear; they don't change matches: a repeat never stops
+    before a character of its own class, and a start within a run fails where the run's start did. \\G lets a match begin
+    where the last one ended. A card is a whole run of digits with single spaces or hyphens between, of 12 to 19 digits.
+    """
+    local = "[A-Za-z0-9._%+-]"
+    email = rf"(?:\G|(?<!{local})){local}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
+    d, dot = _set(("09",), 1 * hidden), _set(("..",), 1 * hidden)
+    ip = rf"(?<!{d}){d}++{dot}{d}++{dot}{d}++{dot}{d}++"
+    d, gap = _set(("09",), 2 * hidden), _set(("  ", "--"), 2 * hidden)
+    card = rf"(?<!{d})(?<!{d}{gap}){d}(?:{gap}?{d}){{11,18}}+(?!{gap}?{d})"
+    d, any_, plus = (_set(r, 3 * hidden) for r in (("09",), ("  ", "()", "..", "09", "--"), ("++",)))
+    return email, ip, card, rf"{plus}{d}{any_}+{d}"
 
 
 def _bind(value: Column, then: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), then)[0]
 
 
+def _before(sizes: Column) -> Column:
+    """For each of some numbers, the sum of those before it. In blocks, as an array that grows is copied each time."""
+    blocks = F.transform(
+        F.sequence(F.lit(0), F.floor(F.greatest(F.size(sizes) - 1, F.lit(0)) / _BLOCK).cast("int")),
+        lambda b: F.slice(sizes, b * _BLOCK + 1, F.lit(_BLOCK)),
+    )
+
+    def sums(numbers: Column) -> Column:
+        return F.aggregate(
+            numbers,
+            F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("before")),
+            lambda s, n: F.struct((s["sum"] + n).alias("sum"), F.array_append(s["before"], s["sum"]).alias("before")),
+        )
+
+    def whole(inner: Column) -> Column:
+        starts = sums(F.transform(inner, lambda s: s["sum"]))["before"]
+        return F.flatten(F.zip_with(inner, starts, lambda s, start: F.transform(s["before"], lambda n: n + start)))
+
+    return _bind(F.transform(blocks, sums), whole)
+
+
 def _located(text: Column, pattern: str) -> Column:
     """{start, end, found} of every match in order; code points, end exclusive."""
 
     def place(v: Column) -> Column:
-        steps = F.zip_with(
-            v["found"],
-            F.slice(v["between"], F.lit(1), F.size(v["found"])),
-            lambda m, gap: F.struct(m.alias("m"), F.length(gap).alias("gap")),
-        )
-        none = F.array().cast("array<struct<start: int, end: int, found: string>>")
-        put = lambda s, e: F.struct(
-            (s["at"] + e["gap"]).alias("start"), (s["at"] + e["gap"] + F.length(e["m"])).alias("end"), e["m"].alias("found")
-        )
-        return F.aggregate(
-            steps,
-            F.struct(F.lit(0).alias("at"), none.alias("out")),
-            lambda s, e: F.struct(
-                (s["at"] + e["gap"] + F.length(e["m"])).alias("at"), F.array_append(s["out"], put(s, e)).alias("out")
-            ),
-            lambda s: s["out"],
-        )
+        def put(before: Column) -> Column:
+            def one(m: Column, i: Column) -> Column:
+                start = F.get(before, i) + F.length(F.get(v["between"], i))
+                return F.struct(start.alias("start"), (start + F.length(m)).alias("end"), m.alias("found"))
 
-    return _bind(
-        F.struct(
-            F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"), F.split(text, pattern, -1).alias("between")
-        ),
-        place,
-    )
+            return F.transform(v["found"], one)
+
+        gaps = F.slice(v["between"], F.lit(1), F.size(v["found"]))
+        return _bind(_before(F.zip_with(v["found"], gaps, lambda m, gap: F.length(m) + F.length(gap))), put)
+
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    return _bind(F.struct(found.alias("found"), F.split(text, pattern, -1).alias("between")), place)
 
 
 def _digits(found: Column) -> Column:
@@ -91,31 +134,86 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0), add) % 10 == 0
 
 
-def _spans_of(located: Column, rank: int, kind: str, valid: Callable[[Column], Column]) -> Column:
-    return F.transform(
-        F.filter(located, lambda e: valid(e["found"])),
-        lambda e: F.struct(e["start"].alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), e["end"].alias("end")),
-    )
+def _valid(kind: str, found: Column) -> Column:
+    if kind == "email":
+        return F.lit(True)
+    if kind == "ip":
+        return found.rlike(rf"^{_BYTE}\.{_BYTE}\.{_BYTE}\.{_BYTE}$")
+    return _luhn(_digits(found)) if kind == "card" else F.length(_digits(found)).between(9, 15)
+
+
+def _may(kind: str, text: Column) -> Column:
+    """Whether a text can have matches: a cheap look before the search."""
+    if kind in ("email", "phone"):
+        return text.contains("@" if kind == "email" else "+")
+    return text.rlike(r"[0-9]\.[0-9]" if kind == "ip" else "[0-9](?:[ -]?[0-9]){11}")
+
+
+def _may_any(text: Column) -> Column:
+    return reduce(lambda a, b: a | b, (_may(kind, text) for kind in KINDS))
 
 
 def base_spans(text: Column) -> Column:
     """All base matches of a text that is not null, as {start, rank, kind, end} by start, then kind."""
-    has_digit = text.rlike("[0-9]")
-    ways = (
-        (EMAIL, text.contains("@"), lambda m: F.lit(True)),
-        (IP, has_digit & text.contains("."), lambda m: m.rlike(rf"^{_BYTE}\.{_BYTE}\.{_BYTE}\.{_BYTE}$")),
-        (CARD, has_digit, lambda m: _luhn(_digits(m))),
-        (PHONE, text.contains("+"), lambda m: F.length(_digits(m)).between(9, 15)),
-    )
-    parts = []
-    for rank, (kind, (pattern, may, valid)) in enumerate(zip(KINDS, ways, strict=True)):
-        spans = _spans_of(_located(text, pattern), rank, kind, valid).cast(f"array<{_SPAN}>")
-        parts.append(F.when(may, spans).otherwise(F.array().cast(f"array<{_SPAN}>")))
-    return F.array_sort(F.concat(*parts))
+
+    def spans(rank: int, kind: str, pattern: str) -> Column:
+        good = F.filter(_located(text, pattern), lambda e: _valid(kind, e["found"]))
+        put = lambda e: F.struct(
+            e["start"].alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), e["end"].alias("end")
+        )
+        all_ = F.transform(good, put).cast(f"array<{_SPAN}>")
+        return F.when(_may(kind, text), all_).otherwise(F.array().cast(f"array<{_SPAN}>"))
+
+    return F.array_sort(F.concat(*map(spans, range(4), KINDS, _patterns())))
+
+
+#: Characters that matches have, and as hidden by a kind, at the start of a match or further on.
+_SHOWN = "".join(map(chr, range(32, 127)))
+_FIRST = [_SHOWN.translate({c: _HIDDEN + 128 * rank + _START + c for c in range(32, 127)}) for rank in range(4)]
+_REST = [_SHOWN.translate({c: _HIDDEN + 128 * rank + c for c in range(32, 127)}) for rank in range(4)]
+_RESERVED = "".join(map(chr, range(_HIDDEN, _HIDDEN + 2 * _START)))
+_IS_REST = rf"\x{{{_HIDDEN:x}}}-\x{{{_HIDDEN + _START - 1:x}}}"
+
+
+def _is_first(rank: int) -> str:
+    low = _HIDDEN + _START + 128 * rank
+    return rf"\x{{{low:x}}}-\x{{{low + 127:x}}}"
+
+
+def _reveal(text: Column) -> Column:
+    return F.translate(text, "".join(_FIRST + _REST), _SHOWN * 8)
+
+
+def _hide(found: Column, rank: int) -> Column:
+    """A match with its characters hidden; what another kind had hidden becomes part of it."""
+    first = F.translate(F.substr(found, F.lit(1), F.lit(1)), _SHOWN, _FIRST[rank])
+    rest = F.translate(F.substr(found, F.lit(2)), _SHOWN + "".join(_FIRST), _REST[rank] + "".join(_REST))
+    return F.concat(first, rest)
+
+
+def masked(text: Column) -> Column:
+    """A text that is not null with all base matches hidden, character by character. Overlapping ones become one, of the
+    kind of the first. Characters that a text has of those that hide others become U+FFFD."""
+    plain = F.when(text.rlike(_IS_HIDDEN), F.translate(text, _RESERVED, "\ufffd" * len(_RESERVED))).otherwise(text)
+
+    def hide(t: Column, rank: int, kind: str, pattern: str) -> Column:
+        pieces = F.zip_with(
+            F.split(t, pattern, -1),
+            F.regexp_extract_all(t, F.lit(pattern), F.lit(0)),
+            lambda gap, m: F.concat(gap, F.coalesce(F.when(_valid(kind, _reveal(m)), _hide(m, rank)).otherwise(m), F.lit(""))),
+        )
+        # what a kind hid may be part of the next one's matches, so those are told from the plain text
+        return F.when(_may(kind, text), F.array_join(pieces, "")).otherwise(t)
+
+    steps = zip(range(4), KINDS, _patterns(hidden=True), strict=True)
+    out = reduce(lambda t, step: _bind(t, lambda x: hide(x, *step)), steps, plain)
+    return F.when(_may_any(text), out).otherwise(plain)
 
 
 def _plain(text: Column) -> Column:
-    """Words of contexts: lower case, every digit 0."""
+    """Words of contexts: lower case, every digit 0, every match a sign of its kind."""
+    for rank in range(4):
+        text = F.regexp_replace(text, f"[{_is_first(rank)}][{_IS_REST}]*", chr(_HIDDEN + _START + 128 * rank))
     return F.translate(F.lower(text), "123456789", "000000000")
 
 
@@ -129,106 +227,80 @@ def _words(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, r"[\x20\x09-\x0D]+"))
 
 
-def _numbered(text: Column, spans: Column) -> Column:
-    """{first, last, value, rank} of spans: the numbers, from 0, of their first and last words, and what they hold."""
-
-    def number(end: Column) -> Column:
-        return F.size(_words(F.substr(text, F.lit(1), end))) - 1
+def _shape(word: Column) -> Column:
+    """The template of a value: each digit 0, letters of any number a, other characters as they are."""
+    shown = F.when(word.rlike(f"[{_ANY_HIDDEN}]"), F.translate(_reveal(word), " ", "_")).otherwise(word)
+    return F.regexp_replace(F.regexp_replace(shown, "[0-9]", "0"), r"\p{L}+", "a")
 
-    return F.transform(
-        spans,
-        lambda s: F.struct(
-            number(s["start"] + 1).alias("first"),
-            number(s["end"]).alias("last"),
-            F.substr(text, s["start"] + 1, s["end"] - s["start"]).alias("value"),
-            s["rank"].alias("rank"),
-        ),
-    )
 
+def _each(texts: DataFrame, *keep: str) -> DataFrame:
+    """(*keep, at, word, pattern) of every word of texts (m, *keep) in each of its patterns, its number in the text and
+    the word without punctuation around it.
 
-def _triples(words: str, third: str) -> Column:
-    """{a, b, word} of each place from the third word on: the two words before it and what it holds.
-
-    Built before texts are exploded, so a word's row doesn't carry its text.
+    Patterns: "2 x y", the two words before; for words with a form besides "1 y shape", "3 shape z" and "= shape". Words
+    are built before texts are exploded, so a word's row doesn't carry its text.
     """
-    n = F.greatest(F.size(words) - 2, F.lit(0))
-    return F.arrays_zip(
-        F.slice(words, F.lit(1), n).alias("a"), F.slice(words, F.lit(2), n).alias("b"), F.slice(third, F.lit(3), n).alias("word")
+    # the signs of matches take no part where there are none
+    m = F.col("m")
+    context = F.when(m.rlike(f"[{_ANY_HIDDEN}]"), _plain(m)).otherwise(F.translate(F.lower(m), "123456789", "000000000"))
+    rows = texts.select(*keep, _words(context).alias("w"), _words(_bare(m)).alias("v"))
+    none = F.lit(None).cast("string")
+    n = F.size("w")
+    cut = lambda start, less: F.slice("w", F.lit(start), F.greatest(n - less, F.lit(0)))
+    places = F.arrays_zip(
+        F.concat(F.array(none, none), cut(1, 2)).alias("a"),
+        F.concat(F.array(none), cut(1, 1)).alias("b"),
+        F.col("v").alias("word"),
+        F.concat(cut(2, 1), F.array(none)).alias("c"),
     )
+    rows = rows.select(*keep, F.posexplode(places).alias("at", "t")).select(*keep, "at", "t.*")
+    rows = rows.filter(F.col("word").rlike(rf"[{_INNER}]"))
+    two = F.concat(F.lit("2 "), "a", F.lit(" "), "b")
+    shape = _shape(F.col("word"))
+    more = F.array(
+        two, F.concat(F.lit("1 "), "b", F.lit(" "), shape), F.concat(F.lit("3 "), shape, F.lit(" "), "c"), F.concat(F.lit("= "), shape)
+    )
+    patterns = F.when(F.col("word").rlike(FORMED), more).otherwise(F.array(two))
+    return rows.select(*keep, "at", "word", F.explode(patterns).alias("pattern")).filter("pattern IS NOT NULL")
 
 
-def _each(rows: DataFrame, *keep: str) -> DataFrame:
-    """(*keep, at, pattern, bare) of every word with a context in rows (w, v, ...)."""
-    rows = rows.select(*keep, F.posexplode(_triples("w", "v")).alias("k", "t"))
-    pattern = F.concat("t.a", F.lit(" "), "t.b").alias("pattern")
-    return rows.select(*keep, (F.col("k") + 2).alias("at"), pattern, F.col("t.word").alias("bare"))
-
+#: A base match in a masked text.
+_RUN = "[" + "".join(map(_is_first, range(4))) + f"][{_IS_REST}]*"
 
-def _held(rows: DataFrame) -> DataFrame:
-    """rows (spans, at, bare, ...) with value and rank of word number at.
 
-    Where a base span begins in the word, rank is the span's and value all of it; words further inside a span are left
-    out. Otherwise rank is null and value the word without punctuation around it, which has to hold a letter or digit.
-    """
-    over = F.filter("spans", lambda b: (b["first"] <= F.col("at")) & (b["last"] >= F.col("at")))
-    rows = rows.withColumn("hit", F.when(F.size("spans") > 0, F.get(over, F.lit(0))))
-    rows = rows.filter(F.when(F.col("hit").isNull(), F.col("bare").rlike(r"[\p{L}\p{N}]")).otherwise(F.col("hit.first") == F.col("at")))
-    return rows.withColumns({"value": F.coalesce("hit.value", "bare"), "rank": F.col("hit.rank")})
-
-
-def _texts(texts: DataFrame) -> DataFrame:
-    text = F.col("text")
-    return texts.select(
-        F.sha2(text, 256).alias("sha"),
-        _numbered(text, F.col("base")).alias("spans"),
-        _words(_plain(text)).alias("w"),
-        _words(_bare(text)).alias("v"),
+def _counted(rows: DataFrame) -> DataFrame:
+    """(pattern, value, n, rank) of rows (pattern, word): rank is that of a base match, whose value is all of it."""
+    run = F.when(F.col("word").rlike(_IS_HIDDEN), F.regexp_extract("word", _RUN, 0))
+    rank = F.floor((F.ascii(run) - (_HIDDEN + _START)) / 128).cast("int")
+    value = F.coalesce(_reveal(run), "word").alias("value")
+    return rows.select("pattern", value, rank.alias("rank")).groupBy("pattern", "value").agg(
+        F.count("*").alias("n"), F.max("rank").alias("rank")
     )
 
 
-def in_patterns(texts: DataFrame, patterns: DataFrame) -> DataFrame:
-    """(sha, at, pattern, value, rank) of all words of texts (text, base spans) that stand in patterns (see _held)."""
-    rows = _each(_texts(texts), "sha", "spans").join(patterns.select("pattern"), "pattern")
-    return _held(rows).select("sha", "at", "pattern", "value", "rank")
-
-
-def _counted(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("pattern", "value").agg(F.count("*").alias("n"), F.max("rank").alias("rank"))
+def _seeds(texts: DataFrame) -> DataFrame:
+    """(pattern, value, n, rank) of base matches and of words that look like one but are none where they stand, as card
+    numbers beside another number (rank null)."""
+    alike = F.col("word").rlike(_IS_HIDDEN) | F.col("word").rlike(f"^{CARD_WORD}$")
+    return _counted(_each(texts.filter(_may_any(F.col("text")))).filter(alike).select("pattern", "word"))
 
 
 def _of_values(texts: DataFrame, values: DataFrame) -> DataFrame:
-    """(pattern, value, n, rank) of all words that hold one of values, have a context and are no part of base spans."""
-    rows = _each(_texts(texts), "spans").join(values.select(F.col("value").alias("bare")), "bare")
-    return _counted(_held(rows).filter("rank IS NULL"))
+    """(pattern, value, n, rank) of all words that hold one of values and are no part of base matches."""
+    return _counted(_each(texts).join(values.select(F.col("value").alias("word")), "word").select("pattern", "word"))
 
 
-def _seeds(texts: DataFrame) -> DataFrame:
-    """(pattern, value, n, rank) of the words with a context in which a base span begins; rank is null for words that
-    look like one but are none there, as card numbers beside another number."""
-
-    def begun(t: Column) -> Column:
-        at = F.filter(F.array_distinct(F.transform(t["spans"], lambda s: s["first"])), lambda k: k >= 2)
-        pattern = lambda k: F.concat(F.get(t["w"], k - 2), F.lit(" "), F.get(t["w"], k - 1))
-        return F.transform(at, lambda k: F.struct(k.alias("at"), pattern(k).alias("pattern"), F.get(t["v"], k).alias("bare")))
-
-    # two steps: base spans are found once, and words only where there are some
-    text = F.col("text")
-    words = F.struct(_numbered(text, F.col("base")).alias("spans"), _words(_plain(text)).alias("w"), _words(_bare(text)).alias("v"))
-    rows = texts.select("text", "base").select(F.when(F.size("base") > 0, words).alias("t"))
-    rows = rows.select(F.col("t.spans").alias("spans"), F.explode(_bind(F.col("t"), begun)).alias("b"))
-    rows = _held(rows.select("spans", "b.*"))
-    alike = _each(_texts(texts.filter(F.col("text").rlike(ALIKE))), "spans")
-    alike = _held(alike.filter(F.col("bare").rlike(f"^{CARD_WORD}$"))).filter("rank IS NULL")
-    columns = ["pattern", "value", "rank"]
-    return written(_counted(rows.select(*columns).unionByName(alike.select(*columns))), "pairs")
+def in_patterns(texts: DataFrame, patterns: DataFrame) -> DataFrame:
+    """(sha, at, pattern, value) of all words of texts that stand in patterns and are no part of base matches."""
+    rows = _each(texts, "sha").join(patterns.select("pattern"), "pattern")
+    return rows.filter(~F.col("word").rlike(_IS_HIDDEN)).select("sha", "at", "pattern", F.col("word").alias("value"))
 
 
 def _totals(texts: DataFrame, patterns: DataFrame) -> DataFrame:
-    """(pattern, total): how often the two words of each pattern stand before a word in texts."""
-    rows = texts.select(_words(_plain(F.col("text"))).alias("w"))
-    rows = _each(rows.withColumn("v", F.col("w"))).select("pattern")
+    """(pattern, total): how often each pattern has a word in texts."""
     # whatever the number of patterns: Spark broadcasts them below its own threshold, and else sorts
-    return written(rows.join(patterns, "pattern").groupBy("pattern").agg(F.count("*").alias("total")), "totals")
+    rows = _each(texts).select("pattern").join(patterns.select("pattern"), "pattern")
+    return written(rows.groupBy("pattern").agg(F.count("*").alias("total")), "totals")
 
 
 def _also(done: DataFrame | None, more: DataFrame) -> DataFrame:
@@ -246,21 +318,29 @@ def learn(
 ) -> DataFrame | None:
     """(sha, at, rank) of the words that are instances discovered, by number in the text of that digest; None without any.
 
-    texts: (text, base). A pattern counts with support distinct known values and the given confidence at least. Candidates
-    are the words in which a base span begins, all words that stand in a pattern of such a word, and all words with a
-    digit. Every text is read whole, for them and for the number of times that each pattern's words stand before a word.
-    Scoring goes on until patterns, instances and scores have settled; rounds is a guard that raises.
+    texts: (text, m), with m as masked gives it. A pattern counts with support distinct known values and the given
+    confidence at least. Candidates are the words with a form and all words that stand in the two-word context of a base
+    match. Every text is read whole, for them and for the number of words that each pattern has. A known value that stands
+    in a good pattern is found wherever the base patterns miss it. Scoring goes on until patterns, instances and scores
+    have settled; rounds is a guard that raises.
     """
-    pairs = _seeds(texts)
+    with working(texts.sparkSession) as keep:
+        found = _learnt(texts, support, confidence, score, rounds)
+        return None if found is None else keep(found, "found")
+
+
+def _learnt(texts: DataFrame, support: int, confidence: float, score: float, rounds: int) -> DataFrame | None:
+    pairs = written(_seeds(texts), "pairs")
     begun = pairs.filter("rank IS NOT NULL")
     seeds = written(begun.select("value").distinct(), "seeds")
     if seeds.isEmpty():
         return None
     seeded = begun.select("pattern").distinct()
-    with_digit = F.col("value").rlike("[0-9]")
+    formed = F.col("value").rlike(FORMED)
+    named = texts.withColumn("sha", F.sha2("text", 256))
 
     def candidates(rows: DataFrame) -> DataFrame:
-        return rows.filter(with_digit).unionByName(rows.filter(~with_digit).join(seeded, "pattern", "left_semi"))
+        return rows.filter(formed).unionByName(rows.filter(~formed).join(seeded, "pattern", "left_semi"))
 
     sizes: dict[str, int] = {}
 
@@ -271,7 +351,7 @@ def learn(
 
     edges = written(pairs.join(seeds, "value"), "edges")  # all occurrences of known values
     given = seeds.withColumns({"score": F.lit(1.0), "as": F.lit(None).cast("int")})
-    kind = F.coalesce(F.mode("rank"), F.mode("as", True))  # of most seeds, or else of most instances raised
+    kind = F.coalesce(F.mode("rank", True), F.mode("as", True))  # of most seeds, or else of most instances raised
     scores = given
     lower = totals = opened = held = reached = good = None
     was = None
@@ -281,91 +361,114 @@ def learn(
         known = (
             edges.join(scores, "value")
             .groupBy("pattern")
-            .agg(
-                F.count("*").alias("known"), F.sum(F.col("n") * F.col("score")).alias("mass"), kind.alias("kind")
-            )
+            .agg(F.count("*").alias("known"), F.sum(F.col("n") * F.col("score")).alias("mass"), kind.alias("kind"))
             .filter(F.col("known") >= support)
         )
         known = written(known, "known")
         if grew("known", known):
-            lower = _also(lower, _totals(texts.filter(F.col("text").rlike(r"@|\+[0-9]")), _other(known, lower, "pattern", "unbounded")))
+            unbounded = _other(known, lower, "pattern", "unbounded")
+            lower = _also(lower, _totals(texts.filter(F.col("text").rlike(r"@|\+[0-9]")), unbounded))
         # some texts hold no more than all: patterns that fall below the confidence in them fall below it at all
         if lower is None:
             return None
-        likely = written(known.join(lower, "pattern", "left").filter(F.col("mass") >= F.coalesce("total", F.lit(0)) * confidence).select(known.columns), "likely")
+        enough = F.col("mass") >= F.coalesce("total", F.lit(0)) * confidence
+        likely = known.join(lower, "pattern", "left").filter(enough).select(known.columns)
         if grew("likely", likely):
             totals = _also(totals, _totals(texts, _other(likely, totals, "pattern", "uncounted")))
         if totals is None:
             return None
         conf = (F.col("mass") / F.col("total")).alias("conf")
-        good = written(likely.join(totals, "pattern").select("pattern", "kind", conf).filter(F.col("conf") >= confidence), "good")
-        if good.isEmpty():
+        good = likely.join(totals, "pattern").select("pattern", "kind", conf).filter(F.col("conf") >= confidence)
+        sure = good.agg(F.count("*"), F.sum("conf")).first()
+        if not sure[0]:
             return None
-        if grew("good", good):
+        if sure[0] > sizes.get("good", 0):
+            sizes["good"] = sure[0]
             more = _other(good, opened, "pattern", "opened")
             opened = _also(opened, more)
-            words = written(in_patterns(texts, more).filter("rank IS NULL").drop("rank"), "words")
-            held = _also(held, written(candidates(words).join(seeds, "value", "left_anti"), "held"))
+            held = _also(held, written(candidates(written(in_patterns(named, more), "words")), "held"))
         doubt = F.exp(F.sum(F.log(F.greatest(1 - F.col("conf"), F.lit(1e-6)))))
-        raised = held.select("pattern", "value").distinct().join(good, "pattern").groupBy("value").agg(
-            (1 - doubt).alias("score"), F.mode("kind", True).alias("as")
-        )
+        unknown = held.join(seeds, "value", "left_anti").select("pattern", "value").distinct()
+        raised = unknown.join(good, "pattern").groupBy("value").agg((1 - doubt).alias("score"), F.mode("kind", True).alias("as"))
         raised = written(raised, "raised")
-        if grew("raised", raised):
+        found = raised.agg(F.count("*"), F.sum("score")).first()
+        if found[0] > sizes.get("raised", 0):
+            sizes["raised"] = found[0]
             more = _other(raised, reached, "value", "reached")
             reached = _also(reached, more)
-            found = written(_of_values(texts, more), "values")
-            edges = edges.unionByName(written(candidates(found), "edges"))
+            places = written(_of_values(texts, more), "values")
+            edges = edges.unionByName(written(candidates(places), "edges"))
         scores = given.unionByName(raised)
-        now = good.agg(F.count("*"), F.sum("conf")).first() + raised.agg(F.count("*"), F.sum("score")).first()
+        now = sure + found
         if was and all(abs((x or 0) - (y or 0)) < SETTLED for x, y in zip(was, now, strict=True)):
             break
         was = now
     new = held.join(scores.filter(F.col("score") >= score).select("value"), "value").join(good, "pattern")
-    found = written(new.select("sha", "at", F.coalesce("kind", F.lit(0)).alias("rank")).distinct(), "found")
+    best = F.max_by("kind", F.struct("conf", "kind")).alias("rank")
+    found = written(new.groupBy("sha", "at").agg(best).select("sha", "at", F.coalesce("rank", F.lit(0)).alias("rank")), "found")
     return None if found.isEmpty() else found
 
 
-def _placed(text: Column, found: Column) -> Column:
-    """Spans of found words {at, rank} of a text."""
+def _placed(m: Column, found: Column) -> Column:
+    """Spans of found words {at, rank} of a masked text."""
     kinds = F.array(*map(F.lit, KINDS))
 
-    def place(t: Column) -> Column:
+    def place(words: Column) -> Column:
         def one(f: Column) -> Column:
-            word = F.get(t["words"], f["at"])
-            start = (
-                F.length(F.array_join(F.slice(t["gaps"], F.lit(1), f["at"] + 1), ""))
-                + F.length(F.array_join(F.slice(t["words"], F.lit(1), f["at"]), ""))
-                + F.length(F.regexp_extract(word, r"^[^\p{L}\p{N}]*", 0))
-            )
+            word = F.get(words, f["at"])
+            start = word["start"] + F.length(F.regexp_extract(word["found"], _LEAD, 0))
+            end = word["end"] - F.length(F.regexp_extract(word["found"], _TAIL, 0))
             return F.struct(
-                start.alias("start"),
-                f["rank"].cast("int").alias("rank"),
-                F.get(kinds, f["rank"]).alias("kind"),
-                (start + F.length(_bare(word))).alias("end"),
+                start.alias("start"), f["rank"].cast("int").alias("rank"), F.get(kinds, f["rank"]).alias("kind"), end.alias("end")
             )
 
         return F.transform(found, one)
 
-    return _bind(F.struct(F.split(text, WORD, -1).alias("gaps"), _words(text).alias("words")), place).cast(f"array<{_SPAN}>")
+    return _bind(_located(m, WORD), place).cast(f"array<{_SPAN}>")
 
 
-def _with_spans(docs: DataFrame, text_col: str, base: str, spans: str, **options) -> DataFrame:
-    """docs with two more columns, both {start, rank, kind, end} in order: base spans, and all spans."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    with_base = docs.withColumn(base, base_spans(text))
-    found = learn(docs.select(text.alias("text")).withColumn("base", base_spans(F.col("text"))), **options)
+def _hidden_words(m: Column, found: Column) -> Column:
+    """A masked text with the found words {at, rank}, in order, hidden as well."""
+
+    def put(v: Column) -> Column:
+        # for each word its rank or null: nulls up to each found word, then its rank
+        ranks = F.flatten(
+            F.transform(
+                found,
+                lambda f, i: F.concat(
+                    F.array_repeat(F.lit(None).cast("int"), f["at"] - F.when(i > 0, F.get(found["at"], i - 1) + 1).otherwise(0)),
+                    F.array(f["rank"].cast("int")),
+                ),
+            )
+        )
+
+        def hide(word: Column, rank: Column) -> Column:
+            lead, tail = F.regexp_extract(word, _LEAD, 0), F.regexp_extract(word, _TAIL, 0)
+            core = F.substr(word, F.length(lead) + 1, F.length(word) - F.length(lead) - F.length(tail))
+            out = word
+            for k in range(4):
+                out = F.when(rank == k, F.concat(lead, _hide(core, k), tail)).otherwise(out)
+            return out
+
+        words = F.zip_with(v["words"], ranks, lambda w, r: F.when(r.isNull(), w).otherwise(hide(w, r)))
+        pieces = _bind(words, lambda w: F.zip_with(v["gaps"], w, lambda gap, x: F.concat(gap, F.coalesce(x, F.lit("")))))
+        return F.array_join(pieces, "")
+
+    words = F.regexp_extract_all(m, F.lit(WORD), F.lit(0))
+    return _bind(F.struct(F.split(m, WORD, -1).alias("gaps"), words.alias("words")), put)
+
+
+def _with_found(docs: DataFrame, text: Column, name: str, **options) -> DataFrame:
+    """docs with one more column: the words {at, rank} discovered in their texts, in order, or null."""
+    texts = docs.select(text.alias("text"))
+    found = learn(texts.withColumn("m", masked(F.col("text"))), **options)
     if found is None:
-        return with_base.withColumn(spans, F.col(base))
-    more = found.groupBy("sha").agg(F.collect_list(F.struct("at", "rank")).alias("more"))  # of one text
-    more = written(more, "more")
-    name, added = fresh(with_base, "text_sha", "more_words")
-    keyed = with_base.withColumn(name, F.when(text != "", F.sha2(text, 256)))
-    joined = keyed.join(more.toDF(f"{name}_", added), F.col(name) == F.col(f"{name}_"), "left")
-    every = F.when(F.col(added).isNull(), F.col(base)).otherwise(
-        F.array_sort(F.concat(F.col(base), _placed(text, F.col(added))))
-    )
-    return joined.withColumn(spans, every).drop(name, f"{name}_", added)
+        return docs.withColumn(name, F.lit(None).cast("array<struct<at: int, rank: int>>"))
+    words = F.array_sort(F.collect_list(F.struct("at", "rank")))  # of one text
+    more = written(found.groupBy("sha").agg(words.alias("more")), "more")
+    (sha,) = fresh(docs, f"{name}_sha")
+    keyed = docs.withColumn(sha, F.when(text != "", F.sha2(text, 256)))
+    return keyed.join(more.toDF(f"{sha}_", name), F.col(sha) == F.col(f"{sha}_"), "left").drop(sha, f"{sha}_")
 
 
 def _listed(spans: str) -> Column:
@@ -380,8 +483,12 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     A null text is empty and has none; texts of any length are read whole; repeated rows and null ids get their own
     row; an empty table gives none. Of spans that start at the same place, the kind listed first stands first.
     """
-    base, spans = fresh(docs.select(id_col, text_col), "base", "spans")
-    out = _with_spans(docs.select(id_col, text_col), text_col, base, spans, **options)
+    docs = docs.select(id_col, text_col)
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    base, spans, more = fresh(docs, "base", "spans", "more")
+    out = _with_found(docs, text, more, **options).withColumn(base, base_spans(text))
+    every = F.array_sort(F.concat(F.col(base), _placed(masked(text), F.col(more))))
+    out = out.withColumn(spans, F.when(F.col(more).isNull(), F.col(base)).otherwise(every))
     ranks = F.transform(base, lambda s: s["rank"])
     counts = [
         (F.size(ranks) - F.size(F.array_remove(ranks, k))).cast("long").alias(f"n_{kind}") for k, kind in enumerate(KINDS)
@@ -395,37 +502,16 @@ def redact(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """docs, columns unchanged, with [EMAIL], [IP], [CARD] or [PHONE] for each span of their texts (options: see learn).
 
     Overlapping spans are one, named after the first. Texts without spans stay as they are, null too; a column n_chars
-    follows a text that changes.
+    follows a text that changes. In a text that changes, private characters from U+F0000 to U+F03FF become U+FFFD.
     """
-    base, spans = fresh(docs, "base", "spans")
-    out = _with_spans(docs, text_col, base, spans, **options)
-    text = F.col(text_col).cast("string")
-    none = F.array().cast("array<struct<start: int, end: int, kind: string>>")
-
-    def merge(done: Column, s: Column) -> Column:
-        last = F.get(done, F.size(done) - 1)
-        longer = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"), last["kind"].alias("kind"))
-        whole = F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))
-        return F.when(
-            (F.size(done) > 0) & (s["start"] < last["end"]),
-            F.array_append(F.slice(done, F.lit(1), F.size(done) - 1), longer),
-        ).otherwise(F.array_append(done, whole))
-
-    def cover(state: Column, s: Column) -> Column:
-        kept = F.substr(text, state["at"] + 1, s["start"] - state["at"])
-        tag = F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))
-        return F.struct(
-            s["end"].alias("at"), F.array_append(state["out"], F.concat(kept, tag)).alias("out")
-        )
-
-    clean = F.aggregate(
-        F.aggregate(spans, none, merge),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")),
-        cover,
-        lambda s: F.concat(F.array_join(s["out"], ""), F.substr(text, s["at"] + 1, F.length(text))),
-    )
-    (name,) = fresh(out, "redacted")
-    out = out.withColumn(name, F.when(F.size(spans) > 0, clean))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    more, m, name = fresh(docs, "more", "masked_text", "redacted")
+    out = _with_found(docs, text, more, **options).withColumn(m, masked(text))
+    out = out.withColumn(m, F.when(F.col(more).isNull(), F.col(m)).otherwise(_hidden_words(F.col(m), F.col(more))))
+    clean = F.col(m)
+    for rank, kind in enumerate(KINDS):
+        clean = F.regexp_replace(clean, f"[{_is_first(rank)}][{_IS_REST}]*", f"[{kind.upper()}]")
+    out = out.withColumn(name, F.when(F.col(m).rlike(_IS_HIDDEN), clean))
     new = {text_col: F.coalesce(name, text_col)}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
