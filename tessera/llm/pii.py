@@ -33,14 +33,8 @@ _HIDDEN, _START = 0xF0000, 512
 _ANY_HIDDEN = rf"\x{{{_HIDDEN:x}}}-\x{{{_HIDDEN + 2 * _START - 1:x}}}"
 _IS_HIDDEN = f"[{_ANY_HIDDEN}]"
 
-#: Punctuation before and after the letters and digits of a word.
-_INNER = rf"\p{{L}}\p{{N}}{_ANY_HIDDEN}"
-_LEAD = rf"^[^{_INNER}]+(?=[{_INNER}])"
-_TAIL = rf"(?<=[{_INNER}])[^{_INNER}]+$"
-AROUND = (
-    rf"(?<![^\x20\x09-\x0D])[^{_INNER}\x20\x09-\x0D]++(?=[{_INNER}])"
-    rf"|(?<=[{_INNER}])[^{_INNER}\x20\x09-\x0D]++(?![^\x20\x09-\x0D])"
-)
+#: Punctuation that is taken off both ends of a word.
+AROUND = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„‘’‚‹›…–—·•¿¡"
 #: Words with a form: digits, an @, hidden characters, or symbols other than hyphens and apostrophes inside.
 FORMED = rf"[0-9@{_ANY_HIDDEN}]|[\p{{L}}\p{{N}}][._%+:/()\[\]]+[\p{{L}}\p{{N}}]"
 #: One word that a card number can be.
@@ -134,6 +128,9 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0), add) % 10 == 0
 
 
+_IP_LIKE, _CARD_LIKE = r"[0-9]\.[0-9]++\.[0-9]", "[0-9](?:[ -]?[0-9]){11}"
+
+
 def _valid(kind: str, found: Column) -> Column:
     if kind == "email":
         return F.lit(True)
@@ -146,11 +143,11 @@ def _may(kind: str, text: Column) -> Column:
     """Whether a text can have matches: a cheap look before the search."""
     if kind in ("email", "phone"):
         return text.contains("@" if kind == "email" else "+")
-    return text.rlike(r"[0-9]\.[0-9]" if kind == "ip" else "[0-9](?:[ -]?[0-9]){11}")
+    return text.rlike(_IP_LIKE if kind == "ip" else _CARD_LIKE)
 
 
 def _may_any(text: Column) -> Column:
-    return reduce(lambda a, b: a | b, (_may(kind, text) for kind in KINDS))
+    return text.contains("@") | text.contains("+") | text.rlike(f"{_IP_LIKE}|{_CARD_LIKE}")
 
 
 def base_spans(text: Column) -> Column:
@@ -211,20 +208,16 @@ def masked(text: Column) -> Column:
 
 
 def _plain(text: Column) -> Column:
-    """Words of contexts: lower case, every digit 0, every match a sign of its kind."""
+    """A text as contexts have it: lower case, every digit 0, every match a sign of its kind."""
+    out = text
     for rank in range(4):
-        text = F.regexp_replace(text, f"[{_is_first(rank)}][{_IS_REST}]*", chr(_HIDDEN + _START + 128 * rank))
-    return F.translate(F.lower(text), "123456789", "000000000")
-
-
-def _bare(text: Column) -> Column:
-    """The text without punctuation around its words; words of punctuation alone stay, so words keep their numbers."""
-    return F.regexp_replace(text, AROUND, "")
+        out = F.regexp_replace(out, f"[{_is_first(rank)}][{_IS_REST}]*", chr(_HIDDEN + _START + 128 * rank))
+    out = F.when(text.rlike(_IS_HIDDEN), out).otherwise(text)
+    return F.when(text.rlike("[1-9]"), F.regexp_replace(F.lower(out), "[1-9]", "0")).otherwise(F.lower(out))
 
 
 def _words(text: Column) -> Column:
-    trimmed = F.btrim(text, F.lit(" \t\n\x0b\x0c\r"))
-    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, r"[\x20\x09-\x0D]+"))
+    return F.split(F.btrim(text, F.lit(" \t\n\x0b\x0c\r")), r"[\x20\x09-\x0D]+")
 
 
 def _shape(word: Column) -> Column:
@@ -233,35 +226,38 @@ def _shape(word: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(shown, "[0-9]", "0"), r"\p{L}+", "a")
 
 
-def _each(texts: DataFrame, *keep: str) -> DataFrame:
-    """(*keep, at, word, pattern) of every word of texts (m, *keep) in each of its patterns, its number in the text and
-    the word without punctuation around it.
-
-    Patterns: "2 x y", the two words before; for words with a form besides "1 y shape", "3 shape z" and "= shape". Words
-    are built before texts are exploded, so a word's row doesn't carry its text.
+def _places(texts: DataFrame, *keep: str) -> DataFrame:
+    """(*keep, at, a, b, word, c) of every word of texts (m, *keep): its number in the text, the word without punctuation
+    around it (empty if it has nothing else), and two words before and one after it as contexts have them, null beyond the
+    text. Words are built before texts are exploded, so a word's row doesn't carry its text.
     """
-    # the signs of matches take no part where there are none
-    m = F.col("m")
-    context = F.when(m.rlike(f"[{_ANY_HIDDEN}]"), _plain(m)).otherwise(F.translate(F.lower(m), "123456789", "000000000"))
-    rows = texts.select(*keep, _words(context).alias("w"), _words(_bare(m)).alias("v"))
+    rows = texts.select(*keep, _words(_plain(F.col("m"))).alias("w"), _words(F.col("m")).alias("v"))
     none = F.lit(None).cast("string")
-    n = F.size("w")
-    cut = lambda start, less: F.slice("w", F.lit(start), F.greatest(n - less, F.lit(0)))
+    cut = lambda start, less: F.slice("w", F.lit(start), F.greatest(F.size("w") - less, F.lit(0)))
     places = F.arrays_zip(
         F.concat(F.array(none, none), cut(1, 2)).alias("a"),
         F.concat(F.array(none), cut(1, 1)).alias("b"),
         F.col("v").alias("word"),
         F.concat(cut(2, 1), F.array(none)).alias("c"),
     )
-    rows = rows.select(*keep, F.posexplode(places).alias("at", "t")).select(*keep, "at", "t.*")
-    rows = rows.filter(F.col("word").rlike(rf"[{_INNER}]"))
-    two = F.concat(F.lit("2 "), "a", F.lit(" "), "b")
-    shape = _shape(F.col("word"))
+    rows = rows.select(*keep, F.posexplode(places).alias("at", "t")).filter("t.word IS NOT NULL")
+    return rows.select(*keep, "at", "t.a", "t.b", F.btrim("t.word", F.lit(AROUND)).alias("word"), "t.c")
+
+
+def _in_each(rows: DataFrame) -> DataFrame:
+    """rows of _places once for each pattern that the word stands in, as pattern: "2 x y", the two words before; for words
+    with a form besides "1 y shape", "3 shape z" and "= shape"."""
+    rows = rows.withColumn("shape", F.when(F.col("word").rlike(FORMED), _shape(F.col("word"))))
+    rows = rows.withColumn("two", F.concat(F.lit("2 "), "a", F.lit(" "), "b"))
     more = F.array(
-        two, F.concat(F.lit("1 "), "b", F.lit(" "), shape), F.concat(F.lit("3 "), shape, F.lit(" "), "c"), F.concat(F.lit("= "), shape)
+        "two",
+        F.concat(F.lit("1 "), "b", F.lit(" "), "shape"),
+        F.concat(F.lit("3 "), "shape", F.lit(" "), "c"),
+        F.concat(F.lit("= "), "shape"),
     )
-    patterns = F.when(F.col("word").rlike(FORMED), more).otherwise(F.array(two))
-    return rows.select(*keep, "at", "word", F.explode(patterns).alias("pattern")).filter("pattern IS NOT NULL")
+    patterns = F.when(F.col("shape").isNull(), F.array("two")).otherwise(more)
+    rows = rows.withColumn("pattern", F.explode(patterns)).drop("a", "b", "c", "shape", "two")
+    return rows.filter("pattern IS NOT NULL")
 
 
 #: A base match in a masked text.
@@ -282,25 +278,23 @@ def _seeds(texts: DataFrame) -> DataFrame:
     """(pattern, value, n, rank) of base matches and of words that look like one but are none where they stand, as card
     numbers beside another number (rank null)."""
     alike = F.col("word").rlike(_IS_HIDDEN) | F.col("word").rlike(f"^{CARD_WORD}$")
-    return _counted(_each(texts.filter(_may_any(F.col("text")))).filter(alike).select("pattern", "word"))
+    return _counted(_in_each(_places(texts.filter(_may_any(F.col("text")))).filter(alike)))
 
 
 def _of_values(texts: DataFrame, values: DataFrame) -> DataFrame:
     """(pattern, value, n, rank) of all words that hold one of values and are no part of base matches."""
-    return _counted(_each(texts).join(values.select(F.col("value").alias("word")), "word").select("pattern", "word"))
+    return _counted(_in_each(_places(texts).join(values.select(F.col("value").alias("word")), "word")))
 
 
-def in_patterns(texts: DataFrame, patterns: DataFrame) -> DataFrame:
-    """(sha, at, pattern, value) of all words of texts that stand in patterns and are no part of base matches."""
-    rows = _each(texts, "sha").join(patterns.select("pattern"), "pattern")
-    return rows.filter(~F.col("word").rlike(_IS_HIDDEN)).select("sha", "at", "pattern", F.col("word").alias("value"))
+def in_patterns(texts: DataFrame, patterns: DataFrame, *keep: str) -> DataFrame:
+    """(*keep, at, pattern, word) of all words of texts that stand in patterns."""
+    # whatever the number of patterns: Spark broadcasts them below its own threshold, and else sorts
+    return _in_each(_places(texts, *keep)).join(patterns.select("pattern"), "pattern")
 
 
-def _totals(texts: DataFrame, patterns: DataFrame) -> DataFrame:
-    """(pattern, total): how often each pattern has a word in texts."""
-    # whatever the number of patterns: Spark broadcasts them below its own threshold, and else sorts
-    rows = _each(texts).select("pattern").join(patterns.select("pattern"), "pattern")
-    return written(rows.groupBy("pattern").agg(F.count("*").alias("total")), "totals")
+def _totals(places: DataFrame) -> DataFrame:
+    """(pattern, total): how often each pattern has a word."""
+    return written(places.groupBy("pattern").agg(F.count("*").alias("total")), "totals")
 
 
 def _also(done: DataFrame | None, more: DataFrame) -> DataFrame:
@@ -340,7 +334,7 @@ def _learnt(texts: DataFrame, support: int, confidence: float, score: float, rou
     named = texts.withColumn("sha", F.sha2("text", 256))
 
     def candidates(rows: DataFrame) -> DataFrame:
-        return rows.filter(formed).unionByName(rows.filter(~formed).join(seeded, "pattern", "left_semi"))
+        return rows.filter(formed).unionByName(rows.filter(~formed & (F.col("value") != "")).join(seeded, "pattern", "left_semi"))
 
     sizes: dict[str, int] = {}
 
@@ -353,7 +347,7 @@ def _learnt(texts: DataFrame, support: int, confidence: float, score: float, rou
     given = seeds.withColumns({"score": F.lit(1.0), "as": F.lit(None).cast("int")})
     kind = F.coalesce(F.mode("rank", True), F.mode("as", True))  # of most seeds, or else of most instances raised
     scores = given
-    lower = totals = opened = held = reached = good = None
+    lower = totals = held = reached = good = None
     was = None
     for done in range(rounds + 1):
         if done == rounds:
@@ -367,14 +361,18 @@ def _learnt(texts: DataFrame, support: int, confidence: float, score: float, rou
         known = written(known, "known")
         if grew("known", known):
             unbounded = _other(known, lower, "pattern", "unbounded")
-            lower = _also(lower, _totals(texts.filter(F.col("text").rlike(r"@|\+[0-9]")), unbounded))
+            lower = _also(lower, _totals(in_patterns(texts.filter(F.col("text").rlike(r"@|\+[0-9]")), unbounded)))
         # some texts hold no more than all: patterns that fall below the confidence in them fall below it at all
         if lower is None:
             return None
         enough = F.col("mass") >= F.coalesce("total", F.lit(0)) * confidence
         likely = known.join(lower, "pattern", "left").filter(enough).select(known.columns)
         if grew("likely", likely):
-            totals = _also(totals, _totals(texts, _other(likely, totals, "pattern", "uncounted")))
+            # such a pattern has few words beyond the known ones in those texts, and so not many in all
+            new = written(in_patterns(named, _other(likely, totals, "pattern", "uncounted"), "sha"), "places")
+            totals = _also(totals, _totals(new))
+            unseen = new.filter(~F.col("word").rlike(_IS_HIDDEN)).withColumnRenamed("word", "value")
+            held = _also(held, written(candidates(unseen), "held"))
         if totals is None:
             return None
         conf = (F.col("mass") / F.col("total")).alias("conf")
@@ -382,11 +380,6 @@ def _learnt(texts: DataFrame, support: int, confidence: float, score: float, rou
         sure = good.agg(F.count("*"), F.sum("conf")).first()
         if not sure[0]:
             return None
-        if sure[0] > sizes.get("good", 0):
-            sizes["good"] = sure[0]
-            more = _other(good, opened, "pattern", "opened")
-            opened = _also(opened, more)
-            held = _also(held, written(candidates(written(in_patterns(named, more), "words")), "held"))
         doubt = F.exp(F.sum(F.log(F.greatest(1 - F.col("conf"), F.lit(1e-6)))))
         unknown = held.join(seeds, "value", "left_anti").select("pattern", "value").distinct()
         raised = unknown.join(good, "pattern").groupBy("value").agg((1 - doubt).alias("score"), F.mode("kind", True).alias("as"))
@@ -416,8 +409,8 @@ def _placed(m: Column, found: Column) -> Column:
     def place(words: Column) -> Column:
         def one(f: Column) -> Column:
             word = F.get(words, f["at"])
-            start = word["start"] + F.length(F.regexp_extract(word["found"], _LEAD, 0))
-            end = word["end"] - F.length(F.regexp_extract(word["found"], _TAIL, 0))
+            start = word["end"] - F.length(F.ltrim(word["found"], F.lit(AROUND)))
+            end = word["start"] + F.length(F.rtrim(word["found"], F.lit(AROUND)))
             return F.struct(
                 start.alias("start"), f["rank"].cast("int").alias("rank"), F.get(kinds, f["rank"]).alias("kind"), end.alias("end")
             )
@@ -443,8 +436,9 @@ def _hidden_words(m: Column, found: Column) -> Column:
         )
 
         def hide(word: Column, rank: Column) -> Column:
-            lead, tail = F.regexp_extract(word, _LEAD, 0), F.regexp_extract(word, _TAIL, 0)
-            core = F.substr(word, F.length(lead) + 1, F.length(word) - F.length(lead) - F.length(tail))
+            core = F.btrim(word, F.lit(AROUND))
+            lead = F.substr(word, F.lit(1), F.length(word) - F.length(F.ltrim(word, F.lit(AROUND))))
+            tail = F.substr(word, F.length(F.rtrim(word, F.lit(AROUND))) + 1)
             out = word
             for k in range(4):
                 out = F.when(rank == k, F.concat(lead, _hide(core, k), tail)).otherwise(out)

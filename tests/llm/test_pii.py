@@ -141,7 +141,6 @@ def test_contexts_of_any_length(spark):
         assert got[k] == f"phone:{at}:{at + 8}"
 
 
-INNER = re.compile(r"[^\W_]")
 FORMED = re.compile(r"[0-9@]|[^\W_][._%+:/()\[\]]+[^\W_]")
 
 
@@ -170,9 +169,9 @@ def brute_words(text):
             context, k = context + text[k : r[0]].lower() + chr(1 + r[2]), r[1]
         context = re.sub("[1-9]", "0", context + text[k:end].lower())
         lead, tail = at, end
-        while lead < tail and not (inside[lead] or INNER.match(text[lead])):
+        while lead < tail and not inside[lead] and text[lead] in pii.AROUND:
             lead += 1
-        while tail > lead and not (inside[tail - 1] or INNER.match(text[tail - 1])):
+        while tail > lead and not inside[tail - 1] and text[tail - 1] in pii.AROUND:
             tail -= 1
         words.append((lead, tail, mine, context))
         at = end
@@ -185,8 +184,6 @@ def brute_learn(texts, support=3, confidence=0.8, score=0.9):
     for n, text in enumerate(texts):
         words = brute_words(text or "")
         for k, (start, end, mine, _) in enumerate(words):
-            if start == end:
-                continue
             bare = text[start:end]
             shown = bare.replace(" ", "_") if mine else bare
             shape = re.sub(r"[^\W\d_]+", "a", re.sub("[0-9]", "0", shown))
@@ -201,7 +198,7 @@ def brute_learn(texts, support=3, confidence=0.8, score=0.9):
     totals = Counter(r[3] for r in rows)
     seeds = {r[4] for r in rows if r[5] is not None}
     seeded = {r[3] for r in rows if r[5] is not None}
-    candidate = lambda r: r[5] is None and (FORMED.search(r[4]) or r[3] in seeded)
+    candidate = lambda r: r[5] is None and r[4] and (FORMED.search(r[4]) or r[3] in seeded)
     card = re.compile("[0-9](?:-?[0-9]){11,18}")
     scores, kinds = dict.fromkeys(seeds, 1.0), {}
     while True:
