@@ -245,19 +245,21 @@ def _places(texts: DataFrame, *keep: str) -> DataFrame:
 
 
 def _in_each(rows: DataFrame) -> DataFrame:
-    """rows of _places once for each pattern that the word stands in, as pattern: "2 x y", the two words before; for words
-    with a form besides "1 y shape", "3 shape z" and "= shape"."""
-    rows = rows.withColumn("shape", F.when(F.col("word").rlike(FORMED), _shape(F.col("word"))))
-    rows = rows.withColumn("two", F.concat(F.lit("2 "), "a", F.lit(" "), "b"))
-    more = F.array(
-        "two",
+    """rows of words with a form (a, b, word, c, ...) once for each pattern that the word stands in, as pattern: "2 x y", the
+    two words before; "1 y shape"; "3 shape z"; "= shape"."""
+    rows = rows.withColumn("shape", _shape(F.col("word")))
+    patterns = F.array(
+        F.concat(F.lit("2 "), "a", F.lit(" "), "b"),
         F.concat(F.lit("1 "), "b", F.lit(" "), "shape"),
         F.concat(F.lit("3 "), "shape", F.lit(" "), "c"),
         F.concat(F.lit("= "), "shape"),
     )
-    patterns = F.when(F.col("shape").isNull(), F.array("two")).otherwise(more)
-    rows = rows.withColumn("pattern", F.explode(patterns)).drop("a", "b", "c", "shape", "two")
-    return rows.filter("pattern IS NOT NULL")
+    return rows.withColumn("pattern", F.explode(F.array_compact(patterns))).drop("a", "b", "c", "shape")
+
+
+def _after_two(rows: DataFrame) -> DataFrame:
+    """rows of _places with the one pattern that words without a form stand in."""
+    return rows.withColumn("pattern", F.concat(F.lit("2 "), "a", F.lit(" "), "b")).drop("a", "b", "c")
 
 
 #: A base match in a masked text.
@@ -274,22 +276,43 @@ def _counted(rows: DataFrame) -> DataFrame:
     )
 
 
-def _seeds(texts: DataFrame) -> DataFrame:
+def _formed(texts: DataFrame) -> DataFrame:
+    """All words with a form of texts (m, sha), in each of their patterns: (sha, at, word, pattern). They are few among
+    all words, so this is written once and read in every round."""
+    some = texts.filter(F.col("text").rlike(FORMED))  # base matches have digits or an @
+    return written(_in_each(_places(some, "sha").filter(F.col("word").rlike(FORMED))), "formed")
+
+
+def _seeds(formed: DataFrame) -> DataFrame:
     """(pattern, value, n, rank) of base matches and of words that look like one but are none where they stand, as card
     numbers beside another number (rank null)."""
-    alike = F.col("word").rlike(_IS_HIDDEN) | F.col("word").rlike(f"^{CARD_WORD}$")
-    return _counted(_in_each(_places(texts.filter(_may_any(F.col("text")))).filter(alike)))
+    return _counted(formed.filter(F.col("word").rlike(_IS_HIDDEN) | F.col("word").rlike(f"^{CARD_WORD}$")))
 
 
-def _of_values(texts: DataFrame, values: DataFrame) -> DataFrame:
+def _plain_words(texts: DataFrame, *keep: str) -> DataFrame:
+    """(*keep, at, word, pattern) of the words without a form of texts (m, *keep)."""
+    rows = _after_two(_places(texts, *keep))
+    return rows.filter(F.col("pattern").isNotNull() & ~F.col("word").rlike(FORMED))
+
+
+def _of_values(texts: DataFrame, formed: DataFrame, values: DataFrame) -> DataFrame:
     """(pattern, value, n, rank) of all words that hold one of values and are no part of base matches."""
-    return _counted(_in_each(_places(texts).join(values.select(F.col("value").alias("word")), "word")))
+    words = values.select(F.col("value").alias("word"))
+    found = formed.join(words, "word").select("pattern", "word")
+    plain = words.filter(~F.col("word").rlike(FORMED))
+    if not plain.isEmpty():
+        found = found.unionByName(_plain_words(texts).join(plain, "word").select("pattern", "word"))
+    return _counted(found)
 
 
-def in_patterns(texts: DataFrame, patterns: DataFrame, *keep: str) -> DataFrame:
-    """(*keep, at, pattern, word) of all words of texts that stand in patterns."""
+def in_patterns(texts: DataFrame, formed: DataFrame, patterns: DataFrame) -> DataFrame:
+    """(sha, at, pattern, word) of all words of texts that stand in patterns."""
     # whatever the number of patterns: Spark broadcasts them below its own threshold, and else sorts
-    return _in_each(_places(texts, *keep)).join(patterns.select("pattern"), "pattern")
+    found = formed.join(patterns.select("pattern"), "pattern")
+    two = patterns.select("pattern").filter(F.col("pattern").startswith("2 "))
+    if two.isEmpty():
+        return found
+    return found.unionByName(_plain_words(texts, "sha").join(two, "pattern").select(found.columns))
 
 
 def _totals(places: DataFrame) -> DataFrame:
@@ -324,14 +347,16 @@ def learn(
 
 
 def _learnt(texts: DataFrame, support: int, confidence: float, score: float, rounds: int) -> DataFrame | None:
-    pairs = written(_seeds(texts), "pairs")
+    named = texts.withColumn("sha", F.sha2("text", 256))
+    every = _formed(named)
+    pairs = written(_seeds(every), "pairs")
     begun = pairs.filter("rank IS NOT NULL")
     seeds = written(begun.select("value").distinct(), "seeds")
     if seeds.isEmpty():
         return None
     seeded = begun.select("pattern").distinct()
     formed = F.col("value").rlike(FORMED)
-    named = texts.withColumn("sha", F.sha2("text", 256))
+    some = named.filter(F.col("text").rlike(r"@|\+[0-9]"))
 
     def candidates(rows: DataFrame) -> DataFrame:
         return rows.filter(formed).unionByName(rows.filter(~formed & (F.col("value") != "")).join(seeded, "pattern", "left_semi"))
@@ -361,7 +386,8 @@ def _learnt(texts: DataFrame, support: int, confidence: float, score: float, rou
         known = written(known, "known")
         if grew("known", known):
             unbounded = _other(known, lower, "pattern", "unbounded")
-            lower = _also(lower, _totals(in_patterns(texts.filter(F.col("text").rlike(r"@|\+[0-9]")), unbounded)))
+            # words with a form are counted in all texts at once, the others in some first
+            lower = _also(lower, _totals(in_patterns(some, every, unbounded)))
         # some texts hold no more than all: patterns that fall below the confidence in them fall below it at all
         if lower is None:
             return None
@@ -369,7 +395,7 @@ def _learnt(texts: DataFrame, support: int, confidence: float, score: float, rou
         likely = known.join(lower, "pattern", "left").filter(enough).select(known.columns)
         if grew("likely", likely):
             # such a pattern has few words beyond the known ones in those texts, and so not many in all
-            new = written(in_patterns(named, _other(likely, totals, "pattern", "uncounted"), "sha"), "places")
+            new = written(in_patterns(named, every, _other(likely, totals, "pattern", "uncounted")), "places")
             totals = _also(totals, _totals(new))
             unseen = new.filter(~F.col("word").rlike(_IS_HIDDEN)).withColumnRenamed("word", "value")
             held = _also(held, written(candidates(unseen), "held"))
@@ -389,7 +415,7 @@ def _learnt(texts: DataFrame, support: int, confidence: float, score: float, rou
             sizes["raised"] = found[0]
             more = _other(raised, reached, "value", "reached")
             reached = _also(reached, more)
-            places = written(_of_values(texts, more), "values")
+            places = written(_of_values(texts, every, more), "values")
             edges = edges.unionByName(written(candidates(places), "edges"))
         scores = given.unionByName(raised)
         now = sure + found
