@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh, utf8, written
+from .common import drop, fresh, slices, utf8, working, written
 
 SHINGLE, SEED, BITS_APART = 3, 42, 3
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -48,12 +48,14 @@ def fingerprint(text: bytes | None) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp) of each row; fp holds the 64 bits as a signed long. Null and empty texts have fingerprint 0."""
+    """(id, fp) of each row; fp holds the 64 bits as a signed long. Null and empty texts have fingerprint 0. Texts of any
+    length are read whole: of a long one a task holds the words and 8 bytes for each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp = np.array([fingerprint(t) for t in utf8(batch.column(1))], _U).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp)], ["id", "fp"])
+            for part in slices(batch, "text"):
+                fp = np.array([fingerprint(t) for t in utf8(part.column(1))], _U).view(np.int64)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fp)], ["id", "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
@@ -228,7 +230,8 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of edges (a, b): root is the least node that can be reached.
 
     Large and small stars in turn until nothing changes. Each round's nodes and edges are written to the shared folder,
-    so a join here reads plain exchanges, which Spark splits where one node has very many edges.
+    so a join here reads plain exchanges, which Spark splits where one node has very many edges; they go when the next
+    round is written.
     """
     edges = written(
         edges.select(F.least("a", "b").alias("v"), F.greatest("a", "b").alias("u")).filter("u <> v").distinct(), "edges"
@@ -240,6 +243,7 @@ def components(edges: DataFrame) -> DataFrame:
         # large star: each node's larger neighbours go to its least one
         star = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         star = written(star, "large")
+        old = [edges, least, star]
         # small star: a node and its smaller neighbours go to the least of them
         least = written(star.groupBy("u").agg(F.min("v").alias("m")), "least")
         joined = star.join(least, "u")
@@ -250,6 +254,8 @@ def components(edges: DataFrame) -> DataFrame:
             .distinct(),
             "small",
         )
+        for df in (*old, least):
+            drop(df)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen:
             break
@@ -270,18 +276,23 @@ def near_duplicates(
     rep or component unless the group has no other id (then both are null); repeated rows count once each in rows. An
     empty table gives empty results.
     """
-    rows = written(fingerprints(docs, id_col, text_col), "fingerprints")
+    with working(docs.sparkSession) as keep:
+        rows = keep(fingerprints(docs, id_col, text_col), "fingerprints")
+        return rows, keep(_groups(rows, bucket_rows), "groups")
+
+
+def _groups(rows: DataFrame, bucket_rows: int) -> DataFrame:
+    """groups of near_duplicates, from its rows."""
     reps = written(rows.groupBy("fp").agg(F.min("id").alias("rep")), "reps")
     comp = written(components(links(reps.select("fp"), bucket_rows)), "components")
     linked = comp.join(reps, comp.node == reps.fp).groupBy("root").agg(F.min("rep").alias("component"))
     named = comp.join(linked, "root").select(F.col("node").alias("fp"), "root", "component")
-    groups = reps.join(named, "fp", "left").select(
+    return reps.join(named, "fp", "left").select(
         "fp",
         "rep",
         F.when(F.col("root").isNull(), F.col("rep")).otherwise(F.col("component")).alias("component"),
         F.coalesce("root", "fp").alias("root"),
     )
-    return rows, written(groups, "groups")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -294,23 +305,26 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **o
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of docs, columns unchanged, that stand for their group: one of each, that with the least id.
+    """The rows of docs, columns unchanged, that stand for their group: one of each, that with the least id and, where
+    rows of other texts have that id too, the least fingerprint.
 
-    Of repeated rows of that id one stays. A group without any id keeps one row, and null ids of other groups go.
+    Of repeated rows of that id and fingerprint one stays. A group without any id keeps one row, and null ids of other
+    groups go.
     """
     rows, groups = near_duplicates(docs, id_col, text_col, **options)
-    keep = rows.groupBy("id").agg(F.count("*").alias("n")).join(
-        groups.select(F.col("component").alias("id")).filter("id IS NOT NULL").distinct(), "id"
-    )
-    keep = written(keep, "keep")
-    ident, times, fp, root = fresh(docs, "keep_id", "keep_n", "keep_fp", "keep_root")
+    chosen = groups.filter("rep = component").groupBy("root").agg(F.min("component").alias("id"), F.min("fp").alias("fp"))
+    times = rows.groupBy("id").agg(F.count("*").alias("n"))
+    keep = written(chosen.join(times, "id").select("id", "fp", "n"), "keep")
+    ident, fp, mine, root = fresh(docs, "keep_id", "keep_fp", "row_fp", "keep_root")
     # keep grows with the documents: sorted at every size, never broadcast
-    keep = keep.select(F.col("id").alias(ident), F.col("n").alias(times)).hint("merge")
-    kept = docs.join(keep, docs[id_col] == keep[ident])
-    out = kept.select(*docs.columns)
-    if not keep.filter(F.col(times) > 1).isEmpty():
-        repeated = kept.filter(F.col(times) > 1).select(*docs.columns).dropDuplicates([id_col])
-        out = kept.filter(F.col(times) == 1).select(*docs.columns).unionByName(repeated)
+    once = keep.filter("n = 1").select(F.col("id").alias(ident)).hint("merge")
+    out = docs.join(once, docs[id_col] == once[ident]).select(*docs.columns)
+    again = keep.filter("n > 1").select(F.col("id").alias(ident), hex_of(F.col("fp")).alias(fp))
+    if not again.isEmpty():
+        ids = again.select(ident).distinct().hint("merge")
+        repeated = docs.join(ids, docs[id_col] == ids[ident]).select(*docs.columns)
+        repeated = _with_fingerprint(repeated, text_col, mine).join(again, (F.col(id_col) == F.col(ident)) & (F.col(mine) == F.col(fp)))
+        out = out.unionByName(repeated.dropDuplicates([id_col, mine]).select(*docs.columns))
     nameless = groups.filter("component IS NULL").select(hex_of(F.col("fp")).alias(fp), F.col("root").alias(root))
     if not nameless.isEmpty():
         unnamed = _with_fingerprint(docs.filter(F.col(id_col).isNull()), text_col, fp).join(nameless, fp)
@@ -321,7 +335,8 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def _with_fingerprint(docs: DataFrame, text_col: str, name: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp = pa.array([f"{fingerprint(t):016x}" for t in utf8(batch.column(text_col))], pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns, fp], [*batch.schema.names, name])
+            for part in slices(batch, text_col):
+                fp = pa.array([f"{fingerprint(t):016x}" for t in utf8(part.column(text_col))], pa.string())
+                yield pa.RecordBatch.from_arrays([*part.columns, fp], [*part.schema.names, name])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.StringType())]))

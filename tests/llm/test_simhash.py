@@ -125,6 +125,12 @@ def test_one_of_each_group_stays(spark):
     assert [r[1] for r in rows if r[0] is None] == ["nobody else says this at all"]
 
 
+def test_repeated_ids_of_different_texts_each_stand_for_their_group(spark):
+    rows = [(3, "a b c d e f g", None, 1), (3, "a b c d e f g", None, 1), (3, "quite another text it is", None, 1), (4, "A b c d e f g", None, 1)]
+    got = sorted(r.text for r in simhash.deduplicate(table(spark, rows)).collect())
+    assert got == ["a b c d e f g", "quite another text it is"]
+
+
 def test_repeated_rows_leave_one(spark):
     assert simhash.deduplicate(table(spark, [(3, "a b c d", None, 1)] * 4)).count() == 1
 
