@@ -1,8 +1,8 @@
 """URL rules: host suffixes and path prefixes against rules, by hash prefix and then full digest.
 
-Native: DataFrame functions only. Each distinct (host, path) is expanded once, into the
-suffixes and prefixes whose lengths some rule has, so a host or URL that many pages share
-costs no more than one.
+Native: DataFrame functions only. Each distinct (host, path) is expanded once, into the host
+suffixes with as many labels as some rule has, and for hosts that have rules into the path
+prefixes of their lengths, so a host or URL that many pages share costs no more than one.
 """
 
 from __future__ import annotations
@@ -41,38 +41,36 @@ def rule_table(spark: SparkSession, rules=RULES) -> DataFrame:
 def decide(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """(host, path, rule, verdict) of those rows of urls (host, path) that a rule fits; the longest rule wins.
 
+    A url's host suffixes are looked up first, by short hash prefix and then full digest, among the hosts that rules have;
+    its path is cut only to the lengths that rules of those hosts have. So a url costs what its own rules cost, however
+    many others there are.
+
     Rules of the same length: the one with the longer host, then block before allow. Rules with a null in any column
     or an empty host are left out; repeated rules count once; no rules give no rows.
     """
     rules = rules.filter("verdict IS NOT NULL AND host <> '' AND path IS NOT NULL").select(
-        "verdict",
-        ascii_lower(F.col("host")).alias("rule_host"),
-        F.concat(ascii_lower(F.col("host")), "path").alias("rule"),
-        F.length("path").alias("path_length"),
-        F.size(F.split("host", "\\.")).alias("labels"),
+        "verdict", ascii_lower(F.col("host")).alias("rule_host"), "path"
     )
-    # at most as many of each as a host has labels and a path has characters
-    labels = [r[0] for r in rules.select("labels").distinct().orderBy("labels").collect()]
-    lengths = [r[0] for r in rules.select("path_length").distinct().orderBy("path_length").collect()]
-    keyed = rules.select("verdict", "rule", "rule_host", F.sha2("rule", 256).alias("digest")).distinct()
+    keyed = rules.select(
+        "verdict", "rule_host", F.concat("rule_host", "path").alias("rule"), F.sha2(F.concat("rule_host", "path"), 256).alias("digest")
+    ).distinct()
+    # at most as many lengths as a path has characters, and as many labels as a host has
+    hosts = rules.groupBy("rule_host").agg(F.collect_set(F.length("path")).alias("lengths"))
+    hosts = hosts.withColumn("digest", F.sha2("rule_host", 256))
+    found = rules.select(F.size(F.split("rule_host", "\\.")).alias("n")).distinct().orderBy("n").collect()
+    labels = F.array(*(F.lit(r.n) for r in found)).cast("array<int>")
+
+    start = lambda c: F.substring(c, 1, PREFIX_DIGITS)
+    same = start(F.col("own")) == start(F.col("digest"))
     parts = F.split("host", "\\.")
-    expressions = [
-        F.when(
-            (F.size(parts) >= n) & (F.length("path") >= m),
-            F.concat(F.array_join(F.slice(parts, -n, n), "."), F.substring("path", 1, m)),
-        )
-        for n in labels
-        for m in lengths
-    ]
-    if not expressions:
-        return urls.select("host", "path", F.lit(None).cast("string").alias("rule"), F.lit("").alias("verdict")).limit(0)
-    made = (
-        urls.filter("host <> ''")
-        .select("host", "path", F.explode(F.array_compact(F.array(*expressions))).alias("expression"))
-        .withColumn("own", F.sha2("expression", 256))
+    suffixes = F.transform(F.filter(labels, lambda n: n <= F.size(parts)), lambda n: F.array_join(F.slice(parts, -n, n), "."))
+    made = urls.filter("host <> ''").select("host", "path", F.explode(suffixes).alias("suffix"))
+    near = made.withColumn("own", F.sha2("suffix", 256)).join(hosts, same).filter("own = digest AND suffix = rule_host")
+    prefixes = F.transform(
+        F.filter("lengths", lambda m: m <= F.length("path")), lambda m: F.concat("suffix", F.substr("path", F.lit(1), m))
     )
-    start = lambda c: F.substring(c, 1, PREFIX_DIGITS)
-    hits = made.join(keyed, start(F.col("own")) == start(F.col("digest"))).filter("own = digest AND expression = rule")
+    ways = near.select("host", "path", "suffix", F.explode(prefixes).alias("expression")).withColumn("own", F.sha2("expression", 256))
+    hits = ways.join(keyed, same).filter("own = digest AND expression = rule AND suffix = rule_host")
     best = F.struct(F.length("rule"), F.length("rule_host"), F.col("verdict"))
     return hits.groupBy("host", "path").agg(
         F.max_by("rule", best).alias("rule"), F.max_by("verdict", best).alias("verdict")

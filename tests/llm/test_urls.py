@@ -32,6 +32,16 @@ def test_as_by_brute_force(spark):
     )
 
 
+def test_many_rules_of_many_lengths(spark):
+    rules = [("block" if k % 3 else "allow", ".".join(["h"] * (k % 6) + [f"s{k % 40}", "org"]), "/" + "p" * (k % 170)) for k in range(900)]
+    rows = [(k, f"http://www.{'h.' * (k % 7)}s{k % 45}.org/{'p' * (k * 7 % 190)}") for k in range(400)]
+    got = urls.verdicts(spark.createDataFrame(rows, "page_id long, url string"), urls.rule_table(spark, rules)).collect()
+    for r in got:
+        fit = [(len(h + p), len(h), v, h + p) for v, h, p in rules if (r.host == h or r.host.endswith("." + h)) and r.path.startswith(p)]
+        *_, verdict, rule = max(fit, default=(0, 0, "allow", None))
+        assert (r.rule, r.verdict) == (rule, verdict)
+
+
 def test_other_columns_keep_their_names(spark):
     pages = spark.createDataFrame([(1, "http://a.org/x", "own")], "page_id long, url string, host string")
     out = urls.judge(pages, urls.rule_table(spark))
