@@ -8,6 +8,7 @@ the records are found. Ranges that only one replica has differ from nothing and
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -15,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import working, written
 
 FILE_RECORDS = 1000
 FAN = 16
@@ -48,8 +49,9 @@ def archive(
 ) -> DataFrame:
     """One row per page: page_id, file, place in the file from 0, offset, length, digest (SHA-256 of the record).
 
-    Pages go to files of FILE_RECORDS ids; those without an id to one of 1,024 files by hash of their content. Within a
-    file they stand by id, then digest, so repeated rows stand side by side; an empty table gives no rows. With damage,
+    Pages go to files of FILE_RECORDS ids; those without an id that is a number to one of 1,024 files by hash of their
+    content. Within a file they stand by id, then digest, so repeated rows stand side by side; an empty table gives no
+    rows; other columns are left out; pages of any length are hashed whole. With damage,
     a function of record and digest, the digests are those of what it gives, and records that it makes null are left out.
     """
     record = record_of(F.col(id_col), F.col(url_col), F.col(html_col))
@@ -58,23 +60,26 @@ def archive(
     )
     stored = F.sha2(damage(F.col("record"), F.col("digest")), 256) if damage else F.col("digest")
     made = made.withColumn("stored", stored).drop("record")
+    number = F.col("page_id").cast("string").try_cast("decimal(38,0)")
     file = F.coalesce(
-        F.floor(F.col("page_id") / FILE_RECORDS).cast("long"), -1 - F.pmod(F.xxhash64("digest"), F.lit(1024)).cast("long")
-    )
-    order = Window.partitionBy("file").orderBy("page_id", "digest")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        made.withColumn("file", file)
-        .select(
-            "page_id",
-            "file",
-            (F.row_number().over(order) - 1).cast("long").alias("place"),
-            F.coalesce(F.sum("length").over(before), F.lit(0)).alias("offset"),
-            "length",
-            F.col("stored").alias("digest"),
-        )
-        .filter("digest IS NOT NULL")
+        F.floor(number / FILE_RECORDS).cast("long"), -1 - F.pmod(F.xxhash64("digest"), F.lit(1024)).cast("long")
     )
+    # equal rows are one until they have their places
+    rows = made.groupBy(file.alias("file"), "page_id", "digest", "length", "stored").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("file").orderBy("page_id", "digest").rowsBetween(Window.unboundedPreceding, -1)
+    sums = {
+        "place_": F.coalesce(F.sum("n").over(before), F.lit(0)),
+        "offset_": F.coalesce(F.sum(F.col("n") * F.col("length")).over(before), F.lit(0)),
+    }
+    each = rows.withColumns(sums).withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+    return each.select(
+        "page_id",
+        "file",
+        (F.col("place_") + F.col("k")).alias("place"),
+        (F.col("offset_") + F.col("k") * F.col("length")).alias("offset"),
+        "length",
+        F.col("stored").alias("digest"),
+    ).filter("digest IS NOT NULL")
 
 
 @dataclass(frozen=True)
@@ -173,9 +178,11 @@ def audit(original: DataFrame, replica: DataFrame, fan: int = FAN) -> DataFrame:
     Both have file, place and digest. Records that only the replica has are not told here (see compare). Empty replicas
     miss every record; an empty original gives no rows.
     """
-    original, replica = written(original, "original"), written(replica, "replica")
-    within, over = (max(x) for x in zip(height(original, fan), height(replica, fan), strict=True))
-    wrong = compare(tree(original, within, over, fan), tree(replica, within, over, fan))
+    original = written(original, "original")
+    with working(original.sparkSession) as keep:
+        replica = written(replica, "replica")
+        within, over = (max(x) for x in zip(height(original, fan), height(replica, fan), strict=True))
+        wrong = keep(compare(tree(original, within, over, fan), tree(replica, within, over, fan)), "differs")
     found = wrong.filter("digest_a IS NOT NULL").select(
         F.col("file").alias("f"),
         F.col("place").alias("p"),
@@ -190,39 +197,75 @@ def decay(record: Column, digest: Column) -> Column:
     return F.when(digest.startswith("00"), F.concat(record, F.lit("!"))).when(~digest.startswith("ff"), record)
 
 
-def parse(content: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
-    """(offset, headers, payload) of each record of an uncompressed WARC file."""
+def members(content: bytes) -> Iterator[tuple[int, bytes, bool]]:
+    """(offset, bytes, whole) of each member of a gzip file; of any other file, all of it."""
+    if not content.startswith(b"\x1f\x8b"):
+        yield 0, content, True
+        return
     at = 0
     while at < len(content):
-        end = content.index(b"\r\n\r\n", at)
-        version, *lines = content[at:end].decode().split("\r\n")
-        if not version.startswith("WARC/"):
-            raise ValueError(f"no WARC record at {at}")
-        headers = dict(line.split(": ", 1) for line in lines)
-        size = int(headers["Content-Length"])
-        yield at, headers, content[end + 4 : end + 4 + size]
-        at = end + 4 + size + 4
-
-
-def read_files(files: DataFrame) -> DataFrame:
-    """(path, offset, uri, payload) of every record in files (path, content), such as spark.read.format("binaryFile")
-    gives with these columns."""
+        unpack = zlib.decompressobj(31)
+        try:
+            found = unpack.decompress(memoryview(content)[at:])
+        except zlib.error:
+            yield at, b"", False
+            return
+        yield at, found, unpack.eof
+        if not unpack.eof:
+            return
+        at = len(content) - len(unpack.unused_data)
+
+
+def parse(content: bytes) -> Iterator[tuple[int, dict[str, str], bytes, str]]:
+    """(offset, headers, payload, status) of each record of a WARC file, plain or gzip; offsets in the file as it is.
+
+    A record that ends too early has the payload that is left and the status truncated; where no record starts, the status
+    is malformed and the payload the rest. Nothing after such a place (in its gzip member) is read. Headers are told apart
+    at their first colon, whatever their case; lines without one are passed over.
+    """
+    for start, data, whole in members(content):
+        at = 0
+        while at < len(data):
+            here = start + at if data is content else start
+            end = data.find(b"\r\n\r\n", at)
+            version, *lines = data[at : end if end >= 0 else at + 16].decode("utf-8", "replace").split("\r\n")
+            headers = {k.strip().lower(): v.strip() for k, colon, v in (x.partition(":") for x in lines) if colon}
+            size = headers.get("content-length", "")
+            if end < 0 or not version.startswith("WARC/") or not size.isdecimal():
+                yield here, {}, data[at:], "malformed" if whole else "truncated"
+                break
+            payload = data[end + 4 : end + 4 + int(size)]
+            yield here, headers, payload, "ok" if len(payload) == int(size) else "truncated"
+            at = end + 4 + int(size) + 4
+        if not whole and not data:
+            yield start, {}, b"", "truncated"
+
+
+def read_files(files: DataFrame, most_bytes: int = 8 << 20) -> DataFrame:
+    """(path, offset, uri, payload, status) of every record in files (path, content), such as
+    spark.read.format("binaryFile") gives with these columns (see parse). Null and empty files have none; records are
+    passed on in blocks of most_bytes, or one."""
+    names = ["path", "offset", "uri", "payload", "status"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def block(rows: list[tuple]) -> pa.RecordBatch:
+            kinds = [pa.string(), pa.int64(), pa.string(), pa.binary(), pa.string()]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+
         for batch in batches:
-            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                rows = list(parse(content or b""))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([path] * len(rows), pa.string()),
-                        pa.array([r[0] for r in rows], pa.int64()),
-                        pa.array([r[1].get("WARC-Target-URI") for r in rows], pa.string()),
-                        pa.array([r[2] for r in rows], pa.binary()),
-                    ],
-                    ["path", "offset", "uri", "payload"],
-                )
-
-    return files.select("path", "content").mapInArrow(run, "path string, offset long, uri string, payload binary")
+            for k in range(batch.num_rows):
+                path, content = (batch.column(c)[k].as_py() for c in range(2))
+                rows, held = [], 0
+                for at, headers, payload, status in parse(content) if content else ():
+                    if rows and held + len(payload) > most_bytes:
+                        yield block(rows)
+                        rows, held = [], 0
+                    rows.append((path, at, headers.get("warc-target-uri"), payload, status))
+                    held += len(payload)
+                if rows:
+                    yield block(rows)
+
+    return files.select("path", "content").mapInArrow(run, "path string, offset long, uri string, payload binary, status string")
 
 
 _RECORD = (
