@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import normalize_basic, words
+
 
 class Adapter(Protocol):
     """A model: loaded once a partition, called with batches."""
@@ -61,3 +63,17 @@ class ToneSpeech:
 def replay(clips: DataFrame, said: DataFrame, key: str = "idx", column: str = "transcription") -> DataFrame:
     """Recognition from a table of what was recognized before; null where it failed."""
     return clips.join(said.select(key, F.col(column)), key, "left")
+
+
+def lexicon_phonemes(texts: DataFrame, lexicon: DataFrame, key: str = "idx", text: str = "text") -> DataFrame:
+    """(key, ref): the phonemes of each text's words between U+001F, from a lexicon (word, phonemes) instead of a model.
+
+    Words are looked up as normalize_basic writes them; one that the lexicon lacks has none and keeps its place. A text
+    without words is left out, as one that a model gives nothing for. Of a word that the lexicon has twice, the least counts.
+    """
+    known = lexicon.groupBy(F.col("word").alias("known_")).agg(F.min("phonemes").alias("phonemes_"))
+    each = texts.select(F.col(key), F.posexplode(words(normalize_basic(F.col(text)))).alias("place_", "word_"))
+    found = each.join(known, F.col("word_") == F.col("known_"), "left")
+    # as many rows as a text has words
+    chunks = F.array_sort(F.collect_list(F.struct("place_", F.coalesce("phonemes_", F.lit("")).alias("p"))))
+    return found.groupBy(key).agg(F.array_join(F.transform(chunks, lambda c: c["p"]), "\x1f").alias("ref"))

@@ -9,6 +9,13 @@ from pyspark.sql import functions as F
 from ..functions.text import index_of
 
 
+def resolved(path: str, root: str, is_input: bool = False) -> str:
+    """Where a path of a setting leads: absolute ones and those with a scheme stay, others lie under root, or its inputs."""
+    if path.startswith("/") or "://" in path:
+        return path
+    return "/".join([root.rstrip("/"), *(["inputs"] if is_input else []), path])
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A Parquet table, or an empty one where there is none yet."""
     try:

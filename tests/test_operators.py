@@ -252,6 +252,11 @@ def test_sidecars_and_decisions(spark, tmp_path):
     assert [(r.idx, r.action) for r in sidecars.decisions(maps, "t").collect()] == [(4, "bad")]
 
 
+def test_paths_of_settings():
+    assert tables.resolved("/a/b", "/r") == "/a/b" and tables.resolved("s3://b/c", "/r") == "s3://b/c"
+    assert tables.resolved("a.txt", "/r/") == "/r/a.txt" and tables.resolved("a.txt", "hdfs://h/r", True) == "hdfs://h/r/inputs/a.txt"
+
+
 def test_missing_tables_are_empty_and_generations_count_on(spark, tmp_path):
     assert tables.read_or_empty(spark, str(tmp_path / "none"), "idx int").count() == 0
     names = spark.createDataFrame([("gen001",), ("gen12",), ("other",)], "name string")

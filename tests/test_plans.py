@@ -119,6 +119,13 @@ def test_curation_from_corpus_to_release(spark, tmp_path):
     assert run.events().count() == before  # nothing was pending
 
 
+def test_phonemes_from_a_lexicon(spark):
+    texts = spark.createDataFrame([(1, "Uno, due uno!"), (2, "tre due"), (3, ""), (4, None)], "idx long, text string")
+    lexicon = spark.createDataFrame([("uno", "u n o"), ("due", "d u e"), ("uno", "x")], "word string, phonemes string")
+    got = {r.idx: r.ref for r in adapters.lexicon_phonemes(texts, lexicon).collect()}
+    assert got == {1: "u n o\x1fd u e\x1fu n o", 2: "\x1fd u e"}
+
+
 def test_streamed_validation(spark, tmp_path):
     (tmp_path / "in").mkdir()
     rows = [(1, "a b", "a b"), (1, "a b", "x"), (2, "a b", "a"), (3, "", "x")]
