@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import decontaminate, mixing, pii, quality, simhash
-from tessera.llm.common import table, written
+from tessera.llm.common import drop, table, working
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,8 +50,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; what each keeps is written to the shared folder and read again."""
+    """All stages over documents; what each keeps is written to the shared folder and read again.
+
+    A stage's working tables go when it has been written, and what it read when it is the next one's turn.
+    """
     docs = table(spark, sf_dir, "documents")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, written(docs, "stage") if k else docs, sf_dir)
+    for _, stage in STAGES:
+        with working(spark) as keep:
+            out = keep(stage(spark, docs, sf_dir), "stage")
+        drop(docs)  # the table of the stage before, if it is one
+        docs = out
     return docs
