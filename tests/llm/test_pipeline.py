@@ -9,6 +9,20 @@ from tests.llm.test_pii import brute as private
 from tests.llm.test_simhash import brute_fingerprint, brute_groups
 
 
+def test_null_ids_odd_texts_and_empty_tables(spark, tmp_path):
+    good = "Some plain words that go on in one way, then in another, and end at last where the line does too"
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(1, good, "en", "a", len(good)), (None, good.replace("plain", "other words, odd"), None, None, None), (None, None, None, "a", None), (2, "", "en", "a", 0)]
+    for name, docs in (("some", rows), ("none", [])):
+        folder = f"{tmp_path}/{name}"
+        spark.createDataFrame(docs, schema).write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+        spark.createDataFrame([], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+        got = corpus_pipeline.run(spark, folder).collect()
+        assert sorted((r.doc_id for r in got), key=str) == ([1, None] if docs else [])
+        assert all(r.taken <= 2 * r.size for r in got)
+
+
 def test_stages(spark, data, tmp_path):
     docs = spark.read.parquet(f"{data}/documents.parquet")
     kept, columns = [docs.collect()], docs.columns
