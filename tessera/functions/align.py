@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import difflib
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -52,6 +52,26 @@ def error_rate(ref: Column, hyp: Column) -> Column:
 
 
 _WORDS = "array<struct<word: string, edits: int, n_tokens: int, per: double>>"
+_WORDS_ARROW = pa.list_(
+    pa.struct([("word", pa.string()), ("edits", pa.int32()), ("n_tokens", pa.int32()), ("per", pa.float64())])
+)
+_STEPS = "array<struct<tag: string, a: string, b: string>>"
+_STEPS_ARROW = pa.list_(pa.struct([("tag", pa.string()), ("a", pa.string()), ("b", pa.string())]))
+#: Structs of a batch that are Python objects at a time, but for those of one row.
+_AT_ONCE = 4096
+
+
+def _in_arrow(rows: Iterable[list | None], kind: pa.DataType) -> pa.Array:
+    """Rows of structs as one Arrow array. They are taken to Arrow every _AT_ONCE structs: as Python objects, those of a
+    whole batch are over ten times its size."""
+    done, held, n = [pa.array([], kind)], [], 0
+    for row in rows:
+        held.append(row)
+        n += 1 + len(row or ())
+        if n >= _AT_ONCE:
+            done.append(pa.array(held, kind))
+            held, n = [], 0
+    return pa.concat_arrays([*done, pa.array(held, kind)])
 
 
 def align(words: list[tuple[str, list[str]]], hyp: list[str]) -> list[tuple[str, int, int, float]]:
@@ -82,7 +102,7 @@ def align(words: list[tuple[str, list[str]]], hyp: list[str]) -> list[tuple[str,
     size = max(64, math.isqrt(n))
     kept = [steps]
     for start in range(0, n, size):
-        kept.append(rows(kept[-1], start, min(n, start + size))[-1])
+        kept.append(rows(kept[-1], start, min(n, start + size))[-1].copy())  # a view would keep its block
     edits = [0] * len(words)
     i, j = n, m
     low, cost = n, None
@@ -104,32 +124,31 @@ def align(words: list[tuple[str, list[str]]], hyp: list[str]) -> list[tuple[str,
     return [(w, int(e), len(t), e / len(t) if t else 0.0) for (w, t), e in zip(words, edits, strict=True)]
 
 
-def _aligned(words: pd.Series, hyp: pd.Series) -> pd.Series:
-    def one(pairs, said: str | None):
+def _aligned(words: pa.Array, hyp: pa.Array) -> pa.Array:
+    def one(pairs: list | None, said: str | None) -> list | None:
         if pairs is None or said is None:
             return None
         made = align([(p["word"], p["phonemes"].split()) for p in pairs], said.split())
         return [dict(zip(("word", "edits", "n_tokens", "per"), row, strict=True)) for row in made]
 
-    return pd.Series([one(a, b) for a, b in zip(words, hyp, strict=True)])
+    return _in_arrow((one(a.as_py(), b.as_py()) for a, b in zip(words, hyp, strict=True)), _WORDS_ARROW)
 
 
 def align_words(words: Column, hyp: Column) -> Column:
     """Words as {word, phonemes} and a recognized string of tokens, aligned (see align); null if either is."""
-    return F.pandas_udf(_aligned, _WORDS)(words, hyp)
+    return F.arrow_udf(_aligned, _WORDS)(words, hyp)
 
 
-def _diffs(expected: pd.Series, said: pd.Series) -> pd.Series:
-    def one(a, b):
+def _diffs(expected: pa.Array, said: pa.Array) -> pa.Array:
+    def one(a: list | None, b: list | None) -> list | None:
         if a is None or b is None:
             return None
-        a, b = list(a), list(b)
         steps = difflib.SequenceMatcher(a=a, b=b, autojunk=False).get_opcodes()
         return [{"tag": t, "a": " ".join(a[i:j]), "b": " ".join(b[k:n])} for t, i, j, k, n in steps]
 
-    return pd.Series([one(a, b) for a, b in zip(expected, said, strict=True)])
+    return _in_arrow((one(a.as_py(), b.as_py()) for a, b in zip(expected, said, strict=True)), _STEPS_ARROW)
 
 
 def word_diff(expected: Column, said: Column) -> Column:
     """Steps (equal, delete, insert, replace) that turn one array of tokens into another; null if either is."""
-    return F.pandas_udf(_diffs, "array<struct<tag: string, a: string, b: string>>")(expected, said)
+    return F.arrow_udf(_diffs, _STEPS)(expected, said)

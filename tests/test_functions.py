@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -115,6 +117,35 @@ def test_alignment_over_many_kept_rows():
     assert len(made) == 700 and sum(e for _, e, _, _ in made) == brute_distance(ref, hyp)
 
 
+def peak_mb(f):
+    tracemalloc.start()
+    try:
+        made = f()
+        return made, tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_alignment_keeps_no_whole_matrix():
+    rng = random.Random(9)
+    ref, hyp = ([rng.choice("abcdefgh") for _ in range(2000)] for _ in range(2))
+    made, peak = peak_mb(lambda: align.align([(t, [t]) for t in ref], hyp))
+    assert len(made) == 2000 and peak < 8  # 2000 x 2000 costs are 16 MB
+
+
+def test_batches_of_alignments_are_no_python_objects():
+    text = " ".join(f"w{k}" for k in range(40))
+    words = [{"word": w, "phonemes": w} for w in text.split()]
+    batch = pa.array([words] * 1000), pa.array([text] * 998 + [None, ""])
+    made, peak = peak_mb(lambda: align._aligned(*batch))
+    assert len(made) == 1000 and made[998].as_py() is None and {e["edits"] for e in made[999].as_py()} == {1}
+    assert made[0].as_py()[39] == {"word": "w39", "edits": 0, "n_tokens": 1, "per": 0.0}
+    assert peak < 6  # 40,000 words as dictionaries are over 10 MB
+    tokens = pa.array([text.split()] * 1000)
+    made, peak = peak_mb(lambda: align._diffs(tokens, pa.array([text.split()[:-1]] * 999 + [None])))
+    assert [s["tag"] for s in made[0].as_py()] == ["equal", "delete"] and made[999].as_py() is None and peak < 6
+
+
 def test_languages(spark):
     names = ["Italian", " it ", "haw", "Auto", "xx", "ZH", None]
     rows = spark.createDataFrame([(n,) for n in names], "n string").select(tx.language_code(F.col("n")).alias("c")).collect()
