@@ -91,22 +91,30 @@ def _fold(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode())
 
 
-def fold_ascii(c: Column) -> Column:
+def fold_ascii(c: Column, seen: Column | None = None) -> Column:
     """Compatibility decomposition without what isn't ASCII. Spark has no such function.
 
     Decomposition goes character by character, so a table does it; only texts with a character that becomes several (a
-    ligature, a fraction) go to Python, for others that column is null.
+    ligature, a fraction) go to Python, for others that column is null. Both look characters up by translate: a class of
+    hundreds of characters in a regular expression is tried range by range at every character.
+
+    seen: a column that has all characters of c that aren't ASCII, where it costs less than c.
     """
     one, to, several = _folds()
-    rare = c.rlike("[" + "".join(f"\\x{{{ord(x):x}}}" for x in several) + "]")
+    seen = c if seen is None else seen
+    ascii_only = F.octet_length(seen) == F.length(seen)
+    rare = ~ascii_only & (F.length(F.translate(seen, several, "")) < F.length(seen))
     slow = F.pandas_udf(_fold, "string")(F.when(rare, c))
-    return F.coalesce(slow, F.regexp_replace(F.translate(c, one, to), r"[^\x00-\x7F]+", ""))
+    return F.when(ascii_only, c).otherwise(
+        F.coalesce(slow, F.regexp_replace(F.translate(c, one, to), r"[^\x00-\x7F]+", ""))
+    )
 
 
 def _join_digits(c: Column) -> Column:
     """12:00 is 12, 1.000 is 1000."""
-    whole = F.regexp_replace(c, r"(?<![\p{L}\p{N}_])([0-9]+)[.,:;](00)(?![\p{L}\p{N}_])", "$1")
-    return F.regexp_replace(whole, "(?<=[0-9])[.,](?=[0-9])", "")
+    # the marks come first and what stands before them after, as most characters are no mark
+    whole = F.regexp_replace(c, r"(?=[0-9])(?<![\p{L}\p{N}_])([0-9]+)[.,:;](00)(?![\p{L}\p{N}_])", "$1")
+    return F.regexp_replace(whole, "[.,](?<=[0-9].)(?=[0-9])", "")
 
 
 def normalize_full(c: Column, lang: Column, spell: tuple = ()) -> Column:
@@ -122,8 +130,9 @@ def normalize_full(c: Column, lang: Column, spell: tuple = ()) -> Column:
         text,
     )
     spelt = reduce(lambda out, f: f(out, lang), spell, _join_digits(percent))
-    plain = _join_digits(F.trim(F.lower(fold_ascii(spelt))))
-    full = collapse(F.regexp_replace(plain, r"[^a-z0-9_\s]", " "))
+    # without spell, what isn't ASCII is what was there, so the text itself is looked through
+    plain = _join_digits(F.lower(fold_ascii(spelt, None if spell else c)))
+    full = F.trim(F.regexp_replace(plain, "[^a-z0-9_]+", " "))
     return F.when(lang.isin(*PERCENT), full).otherwise(normalize_basic(c))
 
 

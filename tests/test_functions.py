@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 import tracemalloc
 
 import numpy as np
@@ -86,11 +87,41 @@ def test_folding_as_python_does(spark):
         assert r.x == (r.t and unicodedata.normalize("NFKD", r.t).encode("ascii", "ignore").decode())
 
 
+def test_folding_of_every_character(spark):
+    import unicodedata
+
+    one_, _, several = tx._folds()
+    texts = [f"a{c}b" for c in one_ + several] + [several, one_ + "\U0001F600", "x" + several[-1]]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", tx.fold_ascii(F.col("t")).alias("x")).collect()
+    assert len(rows) == len(texts) and "\U0001F110" in several
+    for r in rows:
+        assert r.x == unicodedata.normalize("NFKD", r.t).encode("ascii", "ignore").decode()
+
+
+def seconds(df, column):
+    df.select(column).limit(1).collect()  # compiled, workers started
+    began = time.perf_counter()
+    df.select(column.alias("x")).write.format("noop").mode("overwrite").save()
+    return time.perf_counter() - began
+
+
+def test_folding_costs_no_more_than_some_looking_up(spark):
+    df = spark.range(400, numPartitions=1).select(F.repeat(F.lit("perché città lorem ipsum "), 200).alias("t")).cache()
+    df.count()
+    one_, to, _ = tx._folds()
+    seconds(df, F.translate("t", one_, to))
+    assert seconds(df, tx.fold_ascii(F.col("t"))) < 1 + 6 * seconds(df, F.translate("t", one_, to))  # it was over 30 times
+    df.unpersist()
+
+
 def test_spelling_hooks(spark):
     digits = lambda c, lang: F.when(lang == "en", F.regexp_replace(c, "3", " three ")).otherwise(c)
     row = spark.createDataFrame([("Only 3 cats", "en"), ("Solo 3 gatti", "it")], "t string, l string")
     got = [r.x for r in row.select(tx.normalize_full(F.col("t"), F.col("l"), (digits,)).alias("x")).collect()]
     assert got == ["only three cats", "solo 3 gatti"]
+    marks = lambda c, lang: F.replace(c, F.lit("3"), F.lit("½ é"))
+    got = [r.x for r in row.select(tx.normalize_full(F.col("t"), F.col("l"), (marks,)).alias("x")).collect()]
+    assert got == ["only 12 e cats", "solo 12 e gatti"]
 
 
 def test_labels_and_names(spark):
