@@ -163,11 +163,10 @@ def phonemes(c: Column) -> Column:
 
 def zip_phonemes(text: Column, chunks: Column) -> Column:
     """Each word with its chunk of phonemes (between U+001F); missing chunks are empty, chunks beyond are dropped."""
-    w, p = words(text), F.split(chunks, "\x1f")
-    return F.transform(
-        w,
-        lambda x, i: F.struct(x.alias("word"), F.coalesce(F.get(p, i), F.lit("")).alias("phonemes")),
-    )
+    # both arrays are arguments, so made once a row: in the lambda's body they would be made again for each word
+    p = F.coalesce(F.split(chunks, "\x1f"), F.array().cast("array<string>"))
+    pair = lambda word, chunk: F.struct(word.alias("word"), F.coalesce(chunk, F.lit("")).alias("phonemes"))
+    return F.filter(F.zip_with(words(text), p, pair), lambda e: e["word"].isNotNull())
 
 
 def flat_phonemes(zipped: Column) -> Column:

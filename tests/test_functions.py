@@ -177,6 +177,16 @@ def test_batches_of_alignments_are_no_python_objects():
     assert [s["tag"] for s in made[0].as_py()] == ["equal", "delete"] and made[999].as_py() is None and peak < 6
 
 
+def test_words_and_chunks_are_split_once_a_row(spark):
+    rows = [(None, "a"), ("uno  due", None), ("", "a"), ("uno due tre", "u\x1f\x1ft\x1fx")]
+    zipped = tx.zip_phonemes(F.col("t"), F.col("p"))
+    got = [r.z and [tuple(e) for e in r.z] for r in spark.createDataFrame(rows, "t string, p string").select(zipped.alias("z")).collect()]
+    assert got == [None, [("uno", ""), ("due", "")], [], [("uno", "u"), ("due", ""), ("tre", "t")]]
+    line = lambda n, times: spark.range(times, numPartitions=1).select(F.repeat(F.lit("uno "), n).alias("t"))
+    flat = tx.flat_phonemes(tx.zip_phonemes(F.col("t"), F.array_join(tx.words(F.col("t")), "\x1f")))
+    assert seconds(line(4000, 4), flat) < 2 + 8 * seconds(line(40, 400), flat)  # as many words in longer texts
+
+
 def test_languages(spark):
     names = ["Italian", " it ", "haw", "Auto", "xx", "ZH", None]
     rows = spark.createDataFrame([(n,) for n in names], "n string").select(tx.language_code(F.col("n")).alias("c")).collect()
